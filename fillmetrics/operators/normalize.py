@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,106 +29,103 @@ from fillmetrics.schema import (
 # ---------------------------------------------------------------------------------------------------------------
 # Converters. Input: ``date, value`` (one JSON text per row). Output: the stored columns, ``date``, and ``defect``
 # (null for a good row) with ``text``, the part of the input it is about. Rows stay on the JVM and in their partition.
-# Only scalars are carried across an explode, so a block line with many events is not copied once per event.
+#
+# Every parse goes through a one-element generator. The optimizer may not move a filter below a generator or merge
+# projections across it, so the text is parsed once per row; without it each reference to a field would parse again.
+# Only scalars are carried across the explode of parties or events, so a long line is not copied once per fill.
 # ---------------------------------------------------------------------------------------------------------------
 
 
+def _parsed(df: DataFrame, text: str, schema: str, *keep: str | Column) -> DataFrame:
+    """``keep`` and the fields of the JSON object in ``text`` as columns."""
+    return df.select(*keep, F.inline(F.array(F.from_json(text, schema))))
+
+
+def _paired(df: DataFrame, text: str, *keep: str | Column) -> DataFrame:
+    """``keep`` and the two members of a pair ``[user, {fill}]`` as text."""
+    pairs = df.select(*keep, F.explode(F.array(F.from_json(text, RAW_PAIR))).alias("pair"))
+    return pairs.select(*keep, F.get("pair", F.lit(0)).alias("user"), F.get("pair", F.lit(1)).alias("fill"))
+
+
 def _unified(df: DataFrame, found: dict[str, Column], text: Column) -> DataFrame:
     """Project onto the stored columns (absent ones become null) and judge each row."""
     columns = [found.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in NORMALIZED]
-    missing = F.concat_ws(", ", *[F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED])
-    defect = F.when(missing != "", F.concat(F.lit("missing or unreadable: "), missing))
+    absent = [F.col(name).isNull() for name in REQUIRED]
+    names = F.concat_ws(", ", *[F.when(gone, F.lit(name)) for gone, name in zip(absent, REQUIRED)])
+    defect = F.when(reduce(or_, absent), F.concat(F.lit("missing or unreadable: "), names))
     return df.select(*columns, "date", text.alias("text")).select("*", defect.alias("defect"))
 
 
-def _lost_array(name: str, parsed: Column) -> Column:
+def _lost_array(name: str) -> Column:
     """True where a record has no array although its line is broken or holds something else under that name."""
     line = F.col("value")
     whole = F.try_parse_json(line).isNotNull() & F.ltrim(line).startswith("{")
-    return parsed.isNull() & (~whole | F.get_json_object(line, f"$.{name}").isNotNull())
+    return F.col(name).isNull() & (~whole | F.get_json_object(line, f"$.{name}").isNotNull())
 
 
 def convert_trades(raw: DataFrame) -> DataFrame:
     """One fill per entry of ``side_info``; the record's side is copied to both parties. No entry, no fill."""
-    record = raw.select("date", "value", F.from_json("value", RAW_TRADE).alias("r")).select(
-        "date", "value", "r", iso_millis(F.col("r.time")).alias("ms")
-    )
+    shared = ("coin", "px", "sz", "side", "hash")
+    record = _parsed(raw, "value", RAW_TRADE, "date", "value")
     # A broken record is kept as one defective row even if it names no party.
-    broken = F.col("ms").isNull() | _lost_array("side_info", F.col("r.side_info"))
-    parties = record.select(
+    broken = F.col("time").isNull() | _lost_array("side_info")
+    stand_in = F.array(F.lit(None).cast(RAW_PARTY))
+    listed = record.select(
         "date",
-        *[F.col(f"r.{name}").alias(name) for name in ("coin", "px", "sz", "side", "hash")],
-        "ms",
+        *shared,
+        iso_millis(F.col("time")).alias("time"),
         F.when(broken, F.col("value")).alias("line"),
-        F.explode(F.when(broken, F.array(F.lit(None).cast(RAW_PARTY))).otherwise(F.col("r.side_info"))).alias("p"),
+        F.when(broken, stand_in).otherwise(F.col("side_info")).alias("parties"),
     )
-    found = {name: F.col(name) for name in ("coin", "px", "sz", "side", "hash")} | {
-        "time": F.col("ms"),
-        "user_address": F.col("p.user"),
-        "oid": F.col("p.oid"),
-        "start_position": F.col("p.start_pos"),
-        "cloid": F.col("p.cloid"),
+    parties = listed.select("date", *shared, "time", "line", F.explode("parties").alias("party"))
+    found = {name: F.col(name) for name in (*shared, "time")} | {
+        "user_address": F.col("party.user"),
+        "oid": F.col("party.oid"),
+        "start_position": F.col("party.start_pos"),
+        "cloid": F.col("party.cloid"),
         "dataset_source": F.lit(NODE_TRADES),
     }
-    return _unified(parties, found, F.coalesce(F.col("line"), F.col("hash")))
-
-
-def _fill_columns(user: Column) -> dict[str, Column]:
-    return {name: F.col(f"f.{name}") for name in ("coin", "px", "sz", "side", "time", "hash")} | {
-        "user_address": user,
-        "oid": F.col("f.oid"),
-        "tid": F.col("f.tid"),
-        "start_position": F.col("f.startPosition"),
-        "direction": F.col("f.dir"),
-        "closed_pnl": F.col("f.closedPnl"),
-        "crossed": F.col("f.crossed"),
-        "fee": F.col("f.fee"),
-        "fee_token": F.col("f.feeToken"),
-        "cloid": F.col("f.cloid"),
+    return _unified(parties, found, F.coalesce("line", "hash"))
+
+
+def _fill_columns() -> dict[str, Column]:
+    return {name: F.col(name) for name in ("coin", "px", "sz", "side", "time", "hash", "oid", "tid")} | {
+        "user_address": F.col("user"),
+        "start_position": F.col("startPosition"),
+        "direction": F.col("dir"),
+        "closed_pnl": F.col("closedPnl"),
+        "crossed": F.col("crossed"),
+        "fee": F.col("fee"),
+        "fee_token": F.col("feeToken"),
+        "cloid": F.col("cloid"),
     }
 
 
 def convert_fills(raw: DataFrame) -> DataFrame:
     """A pair ``[user, {fill}]`` becomes one fill."""
-    pairs = raw.select("date", "value", F.from_json("value", RAW_PAIR).alias("pair"))
-    fills = pairs.select(
-        "date",
-        "value",
-        F.get("pair", F.lit(0)).alias("user"),
-        F.from_json(F.get("pair", F.lit(1)), RAW_FILL).alias("f"),
-    )
-    return _unified(fills, _fill_columns(F.col("user")) | {"dataset_source": F.lit(NODE_FILLS)}, F.col("value"))
+    fills = _parsed(_paired(raw, "value", "date", "value"), "fill", RAW_FILL, "date", "value", "user")
+    return _unified(fills, _fill_columns() | {"dataset_source": F.lit(NODE_FILLS)}, F.col("value"))
 
 
 def convert_blocks(raw: DataFrame) -> DataFrame:
     """Every entry of ``events`` becomes one fill that carries the block's metadata and its builder fields."""
-    blocks = raw.select("date", "value", F.from_json("value", RAW_BLOCK).alias("b"))
+    block = ("date", "block_number", "block_time", "local_time")
     # A broken line is kept as one defective row: a pair without user, holding the line itself.
-    broken = _lost_array("events", F.col("b.events"))
-    events = blocks.select(
-        "date",
-        *[F.col(f"b.{name}").alias(name) for name in ("block_number", "block_time", "local_time")],
-        F.explode(
-            F.when(broken, F.array(F.array(F.lit(None).cast("string"), F.col("value")))).otherwise(F.col("b.events"))
-        ).alias("e"),
+    stand_in = F.array(F.array(F.lit(None).cast("string"), F.col("value")))
+    events = _parsed(raw, "value", RAW_BLOCK, "date", "value").select(
+        *block, F.explode(F.when(_lost_array("events"), stand_in).otherwise(F.col("events"))).alias("pair")
     )
-    fills = events.select(
-        "date",
-        "block_number",
-        "block_time",
-        "local_time",
-        F.get("e", F.lit(0)).alias("user"),
-        F.get("e", F.lit(1)).alias("fill"),
-    ).select("*", F.from_json("fill", RAW_FILL).alias("f"))
-    found = _fill_columns(F.col("user")) | {
+    pairs = events.select(*block, F.get("pair", F.lit(0)).alias("user"), F.get("pair", F.lit(1)).alias("fill"))
+    fills = _parsed(pairs, "fill", RAW_FILL, *block, "user", F.col("fill").alias("line"))
+    found = _fill_columns() | {
         "block_number": F.col("block_number"),
         "block_time": F.col("block_time"),
         "local_time": F.col("local_time"),
-        "builder": F.col("f.builder"),
-        "builder_fee": F.col("f.builderFee"),
+        "builder": F.col("builder"),
+        "builder_fee": F.col("builderFee"),
         "dataset_source": F.lit(NODE_FILLS_BY_BLOCK),
     }
-    return _unified(fills, found, F.col("fill"))
+    return _unified(fills, found, F.col("line"))
 
 
 CONVERTERS: dict[str, Callable[[DataFrame], DataFrame]] = {

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillmetrics.operators import normalize
@@ -26,7 +26,11 @@ LARGE_RAW_FILE = 64 << 20
 
 @dataclass(frozen=True)
 class PipelineConf:
-    """Where data lives and what to run. ``on_bad`` is ``fail`` or ``quarantine`` (needs ``quarantine_path``)."""
+    """Where data lives and what to run.
+
+    ``on_bad`` is ``fail`` (one pass) or ``quarantine`` (a second pass collects the defective rows under
+    ``quarantine_path``).
+    """
 
     raw_root: str
     fills_path: str
@@ -70,16 +74,12 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
         for dataset in sorted({row.dataset for row in chosen})
     }
     converted = normalize.convert_all(raw)
-    defects = Observation("defects")
-    observed = converted
-    if conf.on_bad == "quarantine":
-        observed = converted.observe(defects, F.count("defect").alias("rows"))
     mean_size = sum(row.bytes for row in chosen) / sum(row.files for row in chosen)
-    good = normalize.accepted(observed, conf.on_bad)
     days = [row.date for row in chosen]
+    good = normalize.accepted(converted, conf.on_bad)
     write_by_date(good, conf.fills_path, rebalance=mean_size < LARGE_RAW_FILE, days=days)
-    if conf.on_bad == "quarantine" and defects.get.get("rows"):
-        write_by_date(normalize.rejected(converted), conf.quarantine_path)
+    if conf.on_bad == "quarantine":
+        write_by_date(normalize.rejected(converted), conf.quarantine_path, days=days)
 
     written = (
         scan_normalized(spark, conf.fills_path)

@@ -49,9 +49,14 @@ def list_raw(spark: SparkSession, root: str) -> DataFrame:
     return with_raw_location(list_files(spark, root, "*.lz4"))
 
 
-def stored_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct partition dates of a stored table, from file names alone (no Parquet footer is read)."""
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """``date, last_file`` per partition date of a stored table, from file names alone (no Parquet footer is read)."""
     found = _scan(spark, path, "*.parquet", recursive=False)
     if found is None or "date" not in found.columns:
-        return spark.createDataFrame([], "date date")
-    return found.select(F.col("date").cast("date").alias("date")).distinct()
+        return spark.createDataFrame([], "date date, last_file string")
+    return found.groupBy(F.col("date").cast("date").alias("date")).agg(F.max("path").alias("last_file"))
+
+
+def stored_dates(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct partition dates of a stored table."""
+    return stored_files(spark, path).select("date")

@@ -8,17 +8,23 @@ the file size.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillmetrics.sources.listing import with_raw_location
 
 BLOCK_BYTES = 8 << 20
+
+# Ship the decoding functions of this module with the job, so executors need only pyarrow and not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RAW_LINES = "dataset string, date date, path string, value string"
 
 

@@ -6,11 +6,12 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fillmetrics.schema import NORMALIZED_PARTITIONED
+from fillmetrics.sources.listing import stored_files
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -50,9 +51,7 @@ def write_by_date(
     Dynamic overwrite leaves a date without rows as it was. ``days`` names the dates that ``df`` stands for; those
     among them that turn out to have no rows get an empty partition in place of what they held before.
     """
-    written = Observation("written")
-    if days is not None:
-        df = df.observe(written, F.collect_set("date").alias("dates"))
+    before = _last_files(df.sparkSession, path, days)
     schema = df.drop("date").schema
     if rebalance:
         df = df.hint("rebalance", "date")
@@ -65,12 +64,22 @@ def write_by_date(
         .partitionBy("date")
         .parquet(path)
     )
-    if days is not None:
-        nothing = df.sparkSession.createDataFrame([], schema)
-        for day in sorted(set(days) - set(written.get.get("dates") or [])):
+    after = _last_files(df.sparkSession, path, days)
+    # Every write names its files anew, so a date whose files did not change was not written.
+    for day in sorted(days or []):
+        if after.get(day) == before.get(day):
+            nothing = df.sparkSession.createDataFrame([], schema)
             nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/date={day:%Y-%m-%d}")
 
 
+def _last_files(spark: SparkSession, path: str, days: Iterable[date] | None) -> dict[date, str]:
+    """One file name for each of ``days`` that is stored."""
+    if days is None:
+        return {}
+    held = stored_files(spark, path).where(F.col("date").isin(list(days)))
+    return {row.date: row.last_file for row in held.collect()}
+
+
 def write_whole(df: DataFrame, path: str) -> None:
     """Replace an unpartitioned table."""
     df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(path)
