@@ -67,13 +67,15 @@ def convert_trades(raw: DataFrame) -> DataFrame:
     """One fill per entry of ``side_info``; the record's side is copied to both parties. No entry, no fill."""
     shared = ("coin", "px", "sz", "side", "hash")
     record = _parsed(raw, "value", RAW_TRADE, "date", "value")
-    # A broken record is kept as one defective row even if it names no party.
-    broken = F.col("time").isNull() | _lost_array("side_info")
+    # A broken record is kept as one defective row, however many parties it names.
+    millis = iso_millis(F.col("time"))
+    incomplete = reduce(or_, [F.col(name).isNull() for name in shared]) & (F.size("side_info") > 0)
+    broken = millis.isNull() | incomplete | _lost_array("side_info")
     stand_in = F.array(F.lit(None).cast(RAW_PARTY))
     listed = record.select(
         "date",
         *shared,
-        iso_millis(F.col("time")).alias("time"),
+        millis.alias("time"),
         F.when(broken, F.col("value")).alias("line"),
         F.when(broken, stand_in).otherwise(F.col("side_info")).alias("parties"),
     )

@@ -85,11 +85,13 @@ def write_whole(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def checkpointed(df: DataFrame, fallback_dir: str) -> DataFrame:
-    """Cut the lineage of ``df`` in the shared folder of the cluster (``spark.checkpoint.dir``).
+def checkpoint_folder(spark: SparkSession, fallback: str) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; ``fallback`` only where that is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or fallback
 
-    Only a session without that setting uses ``fallback_dir``, a folder next to the tables being written.
-    """
+
+def checkpointed(df: DataFrame, fallback_dir: str) -> DataFrame:
+    """Cut the lineage of ``df`` in a folder that outlives an executor; ``fallback_dir`` lies next to the tables."""
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or fallback_dir)
+    spark.sparkContext.setCheckpointDir(checkpoint_folder(spark, fallback_dir))
     return df.checkpoint()

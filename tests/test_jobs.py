@@ -11,7 +11,7 @@ from fillmetrics import FillAnalytics, PipelineConf, run_pipeline
 from fillmetrics.plans.marts import build_marts
 from fillmetrics.sources.listing import list_raw, stored_dates
 from fillmetrics.sources.raw import count_lines, line_arrays, read_raw
-from fillmetrics.sources.tables import checkpointed, scan_normalized, write_by_date
+from fillmetrics.sources.tables import checkpoint_folder, checkpointed, scan_normalized, write_by_date
 
 
 def compressed(text: bytes) -> bytes:
@@ -167,9 +167,11 @@ def test_other_dates_survive_and_ranges_prune(spark, folder):
 
 
 def test_checkpoint_folder_of_the_cluster_is_used(spark, folder):
-    spark.conf.set("spark.checkpoint.dir", f"{folder}/cluster")
-    try:
-        assert checkpointed(spark.range(3), f"{folder}/own").count() == 3
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert os.path.exists(f"{folder}/cluster") and not os.path.exists(f"{folder}/own")
+    class Named:
+        class conf:
+            get = staticmethod(lambda key, default: "/shared" if key == "spark.checkpoint.dir" else default)
+
+    assert checkpoint_folder(Named, "/own") == "/shared"
+    assert checkpoint_folder(spark, "/own") == "/own"
+    assert checkpointed(spark.range(3), f"{folder}/own").count() == 3
+    assert os.listdir(f"{folder}/own")
