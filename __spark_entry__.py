@@ -55,10 +55,13 @@ def _rounded(df: DataFrame, name: str) -> DataFrame:
 
 
 def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored fills: all layouts converted, one source per date."""
+    """Stored fills: one source per date, losing lines dropped before they are parsed."""
+    return normalize.accepted(_winning_fills(spark, sf_dir, ad.EVENT_CATALOG))
+
+
+def _winning_fills(spark: SparkSession, sf_dir: str, catalog) -> DataFrame:
     raw = ad.raw_by_dataset(_events(spark, sf_dir))
-    unified = normalize.accepted(normalize.convert_all(raw))
-    return normalize.winning_rows(unified, ad.EVENT_CATALOG, "dataset_source")
+    return normalize.convert_all({name: normalize.winning_rows(lines, catalog) for name, lines in raw.items()})
 
 
 def _converted(make, dataset: str) -> Query:
@@ -70,9 +73,7 @@ def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = ad.raw_by_dataset(_events(spark, sf_dir))
-    unified = normalize.accepted(normalize.convert_all(raw))
-    stored = normalize.winning_rows(unified, ad.GAPPED_CATALOG, "dataset_source")
+    stored = normalize.accepted(_winning_fills(spark, sf_dir, ad.GAPPED_CATALOG))
     written = stored.groupBy("date").agg(F.count(F.lit(1)).alias("records"))
     return normalize.run_status(_plan(spark, sf_dir), written)
 
@@ -88,10 +89,7 @@ def _raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = ad.raw_by_dataset(_events(spark, sf_dir))
-    expected = quality.expected_fills(
-        normalize.convert_all({name: normalize.winning_rows(lines, ad.EVENT_CATALOG) for name, lines in raw.items()})
-    )
+    expected = quality.expected_fills(_winning_fills(spark, sf_dir, ad.EVENT_CATALOG))
     return quality.count_check(_raw_counts(spark, sf_dir), expected, _normalized(spark, sf_dir))
 
 

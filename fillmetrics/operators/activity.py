@@ -77,9 +77,16 @@ def new_users(first_trades: DataFrame) -> DataFrame:
 
 
 def densified(series: DataFrame, value: str) -> DataFrame:
-    """Add the absent days of a ``date, value`` series with value 0 (an option, never the default)."""
-    span = series.agg(F.explode(F.sequence(F.min("date"), F.max("date"), F.expr("interval 1 day"))).alias("date"))
-    return span.join(series, "date", "left").select("date", F.coalesce(value, F.lit(0)).alias(value)).orderBy("date")
+    """Add the absent days of a ``date, value`` series with value 0 (an option, never the default).
+
+    Every day is stretched up to the next one present; like :func:`centred_mean` this looks at one row per day.
+    """
+    following = F.lead("date").over(Window.orderBy("date"))
+    last = F.coalesce(F.date_sub(following, 1), F.col("date"))
+    stretched = series.select("date", value, F.sequence("date", last, F.expr("interval 1 day")).alias("days"))
+    filled = stretched.select(F.explode("days").alias("day"), "date", value)
+    amount = F.when(F.col("day") == F.col("date"), F.col(value)).otherwise(F.lit(0))
+    return filled.select(F.col("day").alias("date"), amount.alias(value)).orderBy("date")
 
 
 def centred_mean(series: DataFrame, value: str = "new_users", rows: int = 7) -> DataFrame:

@@ -90,9 +90,9 @@ def completeness(dated: DataFrame) -> DataFrame:
 
 
 def missing_dates(dated: DataFrame) -> DataFrame:
-    """Days between the first and the last date that have no row."""
-    present = dated.select("date").distinct()
-    calendar = dated.agg(F.min("date").alias("low"), F.max("date").alias("high")).select(
+    """Days between the first and the last date that have no row; the table is read once, for its distinct dates."""
+    present = dated.where(F.col("date").isNotNull()).select("date").distinct()
+    calendar = present.agg(F.min("date").alias("low"), F.max("date").alias("high")).select(
         F.explode(F.sequence("low", "high", F.expr("interval 1 day"))).alias("date")
     )
     return calendar.join(present, "date", "left_anti").orderBy("date")

@@ -46,11 +46,12 @@ class FillAnalytics:
     def from_fills(cls, fills: DataFrame, sides: Iterable[str] = marts.MARKET_SIDES) -> FillAnalytics:
         made = cls.__new__(cls)
         made.spark = fills.sparkSession
+        made.mart_dir = None
         made.sides = tuple(sides)
         made.fills = fills
         made.user_activity = marts.user_activity(fills)
         made.daily_user_volume = marts.daily_user_volume(fills, made.sides)
-        made.user_daily_volume = marts.user_daily_volume(made.daily_user_volume)
+        made.user_daily_volume = marts.user_daily_volume_from_fills(fills, sides=made.sides)
         made.user_first_trade = marts.user_first_trade(fills)
         made.daily_metrics = marts.daily_metrics(fills)
         return made
@@ -91,7 +92,11 @@ class FillAnalytics:
     def user_totals(self, coins: Coins = None) -> DataFrame:
         """User-day totals: the stored table for all coins, an aggregate for a selection."""
         selected = as_list(coins)
-        return marts.user_daily_volume(self.daily_user_volume, selected) if selected else self.user_daily_volume
+        if not selected:
+            return self.user_daily_volume
+        if self.mart_dir is None:
+            return marts.user_daily_volume_from_fills(self.fills, selected, self.sides)
+        return marts.user_daily_volume(self.daily_user_volume, selected)
 
     # -- activity ----------------------------------------------------------------------------------------------
 
@@ -194,7 +199,7 @@ class FillAnalytics:
         return row.asDict()
 
     def get_summary_report(self) -> DataFrame:
-        return reports.summary_report(self.data_summary(), self.daily_metrics, self.get_daily_new_users())
+        return reports.summary_report(self.user_activity, self.daily_metrics, self.get_daily_new_users())
 
     def register_views(self) -> None:
         """Temp views ``fills``, ``daily_user_volume``, ``user_first_trade`` and ``daily_metrics``, amounts as double."""

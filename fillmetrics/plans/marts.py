@@ -7,6 +7,7 @@ partitioned by date and replaced date by date; ``user_first_trade`` is one table
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from fillmetrics.operators import marts, normalize
 from fillmetrics.schema import NUMERIC
-from fillmetrics.sources.listing import stored_dates
+from fillmetrics.session import sized_shuffles
+from fillmetrics.sources.listing import stored_bytes, stored_dates
 from fillmetrics.sources.tables import (
     checkpointed,
     scan_normalized,
@@ -40,11 +42,6 @@ def marts_exist(spark: SparkSession, root: str) -> bool:
     return all(table_exists(spark, mart_path(root, name)) for name in (*BY_DATE, FIRST_TRADES))
 
 
-def _store(df: DataFrame, root: str, name: str, days: list[date] | None, sort: tuple[str, ...] = ()) -> None:
-    """Write one date-partitioned mart: all of it, or the given days."""
-    write_by_date(df, mart_path(root, name), sort=sort, days=days, replace_all=days is None)
-
-
 def build_marts(
     spark: SparkSession,
     fills_path: str,
@@ -60,29 +57,42 @@ def build_marts(
     ``append_only`` promises that ``days`` only add fills; then the new dates are merged into the stored table.
     """
     days = None if days is None else sorted(set(days))
-    fills = normalize.typed_fills(scan_normalized(spark, fills_path), numeric)
-    if days is not None:
-        fills = fills.where(F.col("date").isin(days))
-
-    _store(marts.user_activity(fills), root, ACTIVITY, days, sort=("side", "coin"))
-    all_activity = scan_table(spark, mart_path(root, ACTIVITY))
-    activity = all_activity if days is None else all_activity.where(F.col("date").isin(days))
-
-    _store(marts.daily_user_volume_from_activity(activity, sides), root, VOLUMES, days, sort=("coin",))
-    volumes = scan_table(spark, mart_path(root, VOLUMES))
-    if days is not None:
-        volumes = volumes.where(F.col("date").isin(days))
-    _store(marts.user_daily_volume(volumes), root, TOTALS, days)
-    _store(marts.daily_metrics_from_activity(activity, fills), root, METRICS, days)
-
-    first_path = mart_path(root, FIRST_TRADES)
-    if append_only and days is not None and table_exists(spark, first_path):
-        known = scan_table(spark, first_path).withColumnRenamed("first_trade_date", "date")
-        merged = marts.user_first_trade(known.unionByName(activity.select("user_address", "date")))
-        # The table is read and replaced in one go, so its new content is set down elsewhere first.
-        write_whole(checkpointed(merged, mart_path(root, "_checkpoints")), first_path)
-    else:
-        write_whole(marts.user_first_trade(all_activity), first_path)
+
+    def of_days(df: DataFrame) -> DataFrame:
+        return df if days is None else df.where(F.col("date").isin(days))
+
+    def store(df: DataFrame, name: str, *sort: str) -> None:
+        write_by_date(df, mart_path(root, name), sort=sort, days=days, replace_all=days is None)
+
+    def read(name: str) -> DataFrame:
+        return scan_table(spark, mart_path(root, name))
+
+    fills = of_days(normalize.typed_fills(scan_normalized(spark, fills_path), numeric))
+    with sized_shuffles(spark, stored_bytes(spark, fills_path)):
+        store(marts.user_activity(fills), ACTIVITY, "side", "coin")
+        activity = of_days(read(ACTIVITY))
+
+        def store_volumes() -> None:
+            store(marts.daily_user_volume_from_activity(activity, sides), VOLUMES, "coin")
+            store(marts.user_daily_volume(of_days(read(VOLUMES))), TOTALS)
+
+        def store_metrics() -> None:
+            store(marts.daily_metrics_from_activity(activity, fills), METRICS)
+
+        def store_first_trades() -> None:
+            path = mart_path(root, FIRST_TRADES)
+            if append_only and days is not None and table_exists(spark, path):
+                known = scan_table(spark, path).withColumnRenamed("first_trade_date", "date")
+                merged = marts.user_first_trade(known.unionByName(activity.select("user_address", "date")))
+                # The table is read and replaced in one go, so its new content is set down elsewhere first.
+                write_whole(checkpointed(merged, mart_path(root, "_checkpoints")), path)
+            else:
+                write_whole(marts.user_first_trade(read(ACTIVITY)), path)
+
+        # The three depend on the activity table only; submitted together they fill the cluster better.
+        with ThreadPoolExecutor(3) as pool:
+            for done in [pool.submit(step) for step in (store_volumes, store_metrics, store_first_trades)]:
+                done.result()
 
 
 def stale_dates(spark: SparkSession, fills_path: str, root: str) -> list[date]:

@@ -13,7 +13,7 @@ from fillmetrics.operators import normalize
 from fillmetrics.operators.marts import MARKET_SIDES
 from fillmetrics.plans.marts import build_marts, marts_exist, stale_dates
 from fillmetrics.schema import CATALOG, NUMERIC, SourceSpec
-from fillmetrics.session import configure
+from fillmetrics.session import configure, sized_shuffles
 from fillmetrics.sources.listing import list_raw, stored_dates
 from fillmetrics.sources.raw import raw_directory, read_raw
 from fillmetrics.sources.tables import scan_normalized, write_by_date
@@ -23,6 +23,9 @@ PLAN = "date date, dataset string, files bigint, bytes bigint, status string"
 # Raw files at least this large already give output files of a good size, each for a single date.
 LARGE_RAW_FILE = 64 << 20
 
+# How much larger rows are in a shuffle than in a compressed raw file; only the number of partitions depends on it.
+RAW_INFLATION = 4
+
 
 @dataclass(frozen=True)
 class PipelineConf:
@@ -74,12 +77,14 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
         for dataset in sorted({row.dataset for row in chosen})
     }
     converted = normalize.convert_all(raw)
-    mean_size = sum(row.bytes for row in chosen) / sum(row.files for row in chosen)
+    total = sum(row.bytes for row in chosen)
+    mean_size = total / sum(row.files for row in chosen)
     days = [row.date for row in chosen]
     good = normalize.accepted(converted, conf.on_bad)
-    write_by_date(good, conf.fills_path, rebalance=mean_size < LARGE_RAW_FILE, days=days)
-    if conf.on_bad == "quarantine":
-        write_by_date(normalize.rejected(converted), conf.quarantine_path, days=days)
+    with sized_shuffles(spark, total * RAW_INFLATION):
+        write_by_date(good, conf.fills_path, rebalance=mean_size < LARGE_RAW_FILE, days=days)
+        if conf.on_bad == "quarantine":
+            write_by_date(normalize.rejected(converted), conf.quarantine_path, days=days)
 
     written = (
         scan_normalized(spark, conf.fills_path)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +27,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# One shuffle partition per this much input before AQE merges small ones; the number itself stays below a size at
+# which the driver's bookkeeping per partition would hurt.
+BYTES_PER_PARTITION = 128 << 20
+MOST_PARTITIONS = 50_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Within the block, start shuffles with enough partitions for an input of known size.
+
+    AQE merges what turns out small; a session default fit for small runs would put terabytes into a few hundred
+    partitions. The session's own setting returns afterwards.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(default, math.ceil(input_bytes / BYTES_PER_PARTITION)), MOST_PARTITIONS)
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def local_session(cpus: int | str = "*", app: str = "fillmetrics", memory: str = "8g") -> SparkSession:
     """A single-JVM session for tests and the benchmark; clusters bring their own session and shuffle sizing."""
     cores = os.cpu_count() if cpus == "*" else int(cpus)

@@ -57,6 +57,11 @@ def stored_files(spark: SparkSession, path: str) -> DataFrame:
     return found.groupBy(F.col("date").cast("date").alias("date")).agg(F.max("path").alias("last_file"))
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes in the files of a stored table (one number, summed where the listing runs)."""
+    return list_files(spark, path, "*.parquet").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+
+
 def stored_dates(spark: SparkSession, path: str) -> DataFrame:
     """Distinct partition dates of a stored table."""
     return stored_files(spark, path).select("date")

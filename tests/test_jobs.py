@@ -172,6 +172,7 @@ def test_checkpoint_folder_of_the_cluster_is_used(spark, folder):
             get = staticmethod(lambda key, default: "/shared" if key == "spark.checkpoint.dir" else default)
 
     assert checkpoint_folder(Named, "/own") == "/shared"
-    assert checkpoint_folder(spark, "/own") == "/own"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert checkpoint_folder(spark, f"{folder}/own") == (named or f"{folder}/own")
     assert checkpointed(spark.range(3), f"{folder}/own").count() == 3
-    assert os.listdir(f"{folder}/own")
+    assert os.listdir(named or f"{folder}/own")
