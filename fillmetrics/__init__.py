@@ -6,5 +6,6 @@ Raw exchange fills are normalised into one date-partitioned Parquet table, summa
 
 from fillmetrics.plans.analytics import FillAnalytics
 from fillmetrics.plans.pipeline import PipelineConf, run_pipeline
+from fillmetrics.plans.validation import validate
 
-__all__ = ["FillAnalytics", "PipelineConf", "run_pipeline"]
+__all__ = ["FillAnalytics", "PipelineConf", "run_pipeline", "validate"]

@@ -191,7 +191,7 @@ def winning_rows(df: DataFrame, catalog: Sequence[SourceSpec] = CATALOG, dataset
 
 
 def source_plan(files: DataFrame, catalog: Sequence[SourceSpec] = CATALOG) -> DataFrame:
-    """Per date seen in any dataset: the chosen source, its files and bytes, and the status before any run."""
+    """Per date seen in any dataset: the chosen source, its files, their bytes and the status before any run."""
     chosen = source_for(F.col("date"), catalog)
     wins = F.col("dataset") == chosen
     return (
@@ -199,12 +199,14 @@ def source_plan(files: DataFrame, catalog: Sequence[SourceSpec] = CATALOG) -> Da
         .agg(
             F.count(F.when(wins, F.lit(1))).alias("files"),
             F.coalesce(F.sum(F.when(wins, F.col("size"))), F.lit(0)).cast("bigint").alias("bytes"),
+            F.coalesce(F.max(F.when(wins, F.col("size"))), F.lit(0)).cast("bigint").alias("largest"),
         )
         .select(
             "date",
             chosen.alias("dataset"),
             "files",
             "bytes",
+            "largest",
             F.when(chosen.isNull(), F.lit("no_data"))
             .when(F.col("files") == 0, F.lit("no_files"))
             .otherwise(F.lit("success"))

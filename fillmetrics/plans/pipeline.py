@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fillmetrics.operators import normalize
 from fillmetrics.operators.marts import MARKET_SIDES
 from fillmetrics.plans.marts import build_marts, marts_exist, stale_dates
 from fillmetrics.schema import CATALOG, NUMERIC, SourceSpec
-from fillmetrics.session import configure, sized_shuffles
+from fillmetrics.session import BYTES_PER_PARTITION, configure, sized_shuffles
 from fillmetrics.sources.listing import list_raw, stored_dates
 from fillmetrics.sources.raw import raw_directory, read_raw
 from fillmetrics.sources.tables import scan_normalized, write_by_date
 
-PLAN = "date date, dataset string, files bigint, bytes bigint, status string"
+PLAN = "date date, dataset string, files bigint, bytes bigint, largest bigint, status string"
 
 # Raw files at least this large already give output files of a good size, each for a single date.
 LARGE_RAW_FILE = 64 << 20
 
+# A raw file beyond this size would keep one task parsing long after the others; its lines are spread first.
+SPREAD_RAW_FILE = 512 << 20
+
 # How much larger rows are in a shuffle than in a compressed raw file; only the number of partitions depends on it.
 RAW_INFLATION = 4
 
@@ -46,6 +50,7 @@ class PipelineConf:
     rebuild_marts: bool = False
     append_only: bool = False
     transport: str = "stream"
+    spread_raw_file: int = SPREAD_RAW_FILE
     numeric: str = NUMERIC
     sides: Sequence[str] = MARKET_SIDES
     catalog: Sequence[SourceSpec] = field(default=CATALOG)
@@ -61,7 +66,7 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
     plan = normalize.source_plan(list_raw(spark, conf.raw_root), conf.catalog)
     if conf.skip_existing:
         plan = normalize.pending(plan, stored_dates(spark, conf.fills_path))
-    decided = plan.select("date", "dataset", "files", "bytes", "status").orderBy("date").collect()
+    decided = plan.select("date", "dataset", "files", "bytes", "largest", "status").orderBy("date").collect()
     plan = spark.createDataFrame(decided, PLAN)
 
     chosen = [row for row in decided if row.status == "success"]
@@ -69,20 +74,17 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
         return normalize.run_status(plan, spark.createDataFrame([], "date date, records bigint"))
 
     raw = {
-        dataset: read_raw(
-            spark,
-            [raw_directory(conf.raw_root, dataset, row.date) for row in chosen if row.dataset == dataset],
-            conf.transport,
-        )
+        dataset: _read_dates(spark, conf, dataset, [row for row in chosen if row.dataset == dataset])
         for dataset in sorted({row.dataset for row in chosen})
     }
     converted = normalize.convert_all(raw)
     total = sum(row.bytes for row in chosen)
     mean_size = total / sum(row.files for row in chosen)
+    by_date_already = mean_size >= LARGE_RAW_FILE and all(row.largest <= conf.spread_raw_file for row in chosen)
     days = [row.date for row in chosen]
     good = normalize.accepted(converted, conf.on_bad)
     with sized_shuffles(spark, total * RAW_INFLATION):
-        write_by_date(good, conf.fills_path, rebalance=mean_size < LARGE_RAW_FILE, days=days)
+        write_by_date(good, conf.fills_path, rebalance=not by_date_already, days=days)
         if conf.on_bad == "quarantine":
             write_by_date(normalize.rejected(converted), conf.quarantine_path, days=days)
 
@@ -95,6 +97,17 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
     return normalize.run_status(plan, written)
 
 
+def _read_dates(spark: SparkSession, conf: PipelineConf, dataset: str, plan: list[Row]) -> DataFrame:
+    oversized = [row for row in plan if row.largest > conf.spread_raw_file]
+    return read_raw(
+        spark,
+        [raw_directory(conf.raw_root, dataset, row.date) for row in plan],
+        conf.transport,
+        spread_above=conf.spread_raw_file if oversized else None,
+        parts=math.ceil(sum(row.bytes for row in oversized) * RAW_INFLATION / BYTES_PER_PARTITION) or 1,
+    )
+
+
 def run_pipeline(spark: SparkSession, conf: PipelineConf) -> DataFrame | None:
     """Run both steps; either can be skipped, and an error in the first stops the second.
 

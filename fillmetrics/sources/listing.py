@@ -35,6 +35,12 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str | None =
     return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
+def with_keys(files: DataFrame, root: str) -> DataFrame:
+    """Add ``key``, the path below ``root``, so that listings of two places can be compared."""
+    below = r"^.*?\Q" + root.rstrip("/") + r"/\E"
+    return files.withColumn("key", F.regexp_replace("path", below, ""))
+
+
 def with_raw_location(files: DataFrame) -> DataFrame:
     """Add ``dataset`` and ``date`` of ``<dataset>/hourly/YYYYMMDD/<hour>.lz4``; other paths are dropped."""
     return files.select(

@@ -1,9 +1,10 @@
 """Reader for LZ4-frame JSON lines.
 
 Spark's text reader cannot open LZ4 frames, so this is the one place where Python runs on the executors. A frame
-cannot be split, hence one file is one unit of work. The ``binaryFile`` scan already packs files into tasks by their
-size; decoding happens in that same stage, block by block, so memory per task is bounded by the block size and not by
-the file size.
+cannot be split, hence one file is decoded by one task. The ``binaryFile`` scan already packs files into tasks by
+their size; decoding happens in that same stage, block by block, so memory per task is bounded by the block size and
+not by the file size. Decoding is quick next to JSON parsing, so the lines of unusually large files can be spread over
+the cluster before they are parsed.
 """
 
 from __future__ import annotations
@@ -91,11 +92,14 @@ def read_raw(
     transport: str = "stream",
     opener: Callable[[str], pa.NativeFile] = open_path,
     block_bytes: int = BLOCK_BYTES,
+    spread_above: int | None = None,
+    parts: int = 1,
 ) -> DataFrame:
     """Non-blank lines of all ``*.lz4`` files in the date directories: ``dataset, date, path, value``.
 
     ``stream`` opens each file from the executor and has no size limit. ``content`` takes the bytes through Spark's
     own connector (useful where only the cluster holds the credentials) and is limited to files under 2 GB.
+    Lines of files larger than ``spread_above`` bytes are dealt out over ``parts`` partitions.
     """
     if transport not in ("stream", "content"):
         raise ValueError(f"unknown transport {transport!r}")
@@ -107,9 +111,20 @@ def read_raw(
         .option("pathGlobFilter", "*.lz4")
         .load(directories)
     )
-    columns = ["path", "dataset", "date"] + (["content"] if transport == "content" else [])
-    files = with_raw_location(scan.select("path", *(["content"] if transport == "content" else [])))
-    return files.select(*columns).mapInArrow(_decoder(opener, block_bytes), RAW_LINES)
+    content = ["content"] if transport == "content" else []
+
+    def lines(files: DataFrame) -> DataFrame:
+        located = with_raw_location(files.select("path", *content))
+        return located.select("path", "dataset", "date", *content).mapInArrow(
+            _decoder(opener, block_bytes), RAW_LINES
+        )
+
+    if spread_above is None:
+        return lines(scan)
+    # Numbered rather than hashed by text: equal lines spread too, and a repeated task deals them out as before.
+    numbered = lines(scan.where(F.col("length") > spread_above)).withColumn("n", F.monotonically_increasing_id())
+    spread = numbered.repartition(parts, "n").drop("n")
+    return lines(scan.where(F.col("length") <= spread_above)).unionByName(spread)
 
 
 def raw_directory(root: str, dataset: str, day) -> str:

@@ -7,9 +7,10 @@ from fixtures import BLOCK, FILL, TRADE, as_rows, day, put_raw
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from fillmetrics import FillAnalytics, PipelineConf, run_pipeline
+from fillmetrics import FillAnalytics, PipelineConf, run_pipeline, validate
+from fillmetrics.operators import inventory
 from fillmetrics.plans.marts import build_marts
-from fillmetrics.sources.listing import list_raw, stored_dates
+from fillmetrics.sources.listing import list_raw, stored_dates, with_keys
 from fillmetrics.sources.raw import count_lines, line_arrays, read_raw
 from fillmetrics.sources.tables import checkpoint_folder, checkpointed, scan_normalized, write_by_date
 
@@ -133,6 +134,36 @@ def test_bad_record_stops_before_anything_is_written(spark, folder):
         run_pipeline(spark, dataclasses.replace(conf, on_bad="quarantine"))
 
 
+def test_validation_of_a_finished_run(spark, folder):
+    conf = prepared(folder)
+    run_pipeline(spark, dataclasses.replace(conf, skip_marts=True))
+    checks = validate(spark, conf)
+    assert as_rows(checks["count_check"]) == [
+        ("node_fills", 3, 3, 3, 1.0, None, True),
+        ("node_fills_by_block", 2, 2, 2, 1.0, None, True),
+        ("node_trades", 5, 4, 4, 0.8, 2.0, True),
+    ]
+    assert as_rows(checks["processed_counts"]) == [
+        ("node_fills", 3), ("node_fills_by_block", 2), ("node_trades", 4), ("total", 9)
+    ]
+    assert (day(25, 5), "node_fills", "node_fills", 3, True) in as_rows(checks["overlap_check"])
+    assert as_rows(checks["completeness"]) == [(day(1, 4), day(1), 3, 123, 120)]
+    assert checks["missing_dates"].count() == 120
+    assert as_rows(checks["overall_statistics"]) == [(9, 3, 2, 3, day(1, 4), day(1))]
+    assert as_rows(checks["top_coins_by_count"]) == [("BTC", 6), ("ETH", 3)]
+    assert checks["statistics_by_source"].count() == 3
+
+
+def test_inventory_of_two_places(spark, folder):
+    for place in ("there", "here"):
+        put_raw(f"{folder}/{place}", "node_fills", "20250801", "00", [FILL])
+    put_raw(f"{folder}/there", "node_fills", "20250801", "01", [FILL])
+    there = with_keys(list_raw(spark, f"{folder}/there"), f"{folder}/there")
+    here = with_keys(list_raw(spark, f"{folder}/here"), f"{folder}/here")
+    assert as_rows(inventory.pending_files(there, here), "key") == [("node_fills/hourly/20250801/01.lz4",)]
+    assert as_rows(inventory.summary(there), "dataset", "files", "days_span") == [("node_fills", 2, 0)]
+
+
 def test_steps_can_be_skipped(spark, folder):
     conf = prepared(folder)
     run_pipeline(spark, dataclasses.replace(conf, skip_marts=True))
@@ -141,14 +172,37 @@ def test_steps_can_be_skipped(spark, folder):
     assert os.path.exists(conf.mart_root)
 
 
-def test_a_heavy_date_is_written_in_several_files(spark, folder):
+def test_lines_of_a_large_file_are_spread_before_parsing(spark, folder):
+    put_raw(folder, "node_fills", "20250801", "00", [FILL] * 500 + [FILL.replace("0xa", f"0x{n}") for n in range(500)])
+    put_raw(folder, "node_fills", "20250801", "01", [FILL])
+    directory = [f"{folder}/node_fills/hourly/20250801"]
+    limit = os.path.getsize(f"{directory[0]}/01.lz4")
+    spread = read_raw(spark, directory, spread_above=limit, parts=4)
+    assert as_rows(spread) == as_rows(read_raw(spark, directory))
+    held = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(held) == 5 and max(row["count"] for row in held) < 400
+
+
+def test_a_run_with_spread_files_stores_the_same_fills(spark, folder):
+    conf = prepared(folder)
+    run_pipeline(spark, dataclasses.replace(conf, skip_marts=True))
+    other = dataclasses.replace(conf, fills_path=f"{folder}/fills2", skip_marts=True, spread_raw_file=1)
+    run_pipeline(spark, other)
+    columns = ["date", "user_address", "hash", "oid", "px", "dataset_source"]
+    assert as_rows(scan_normalized(spark, conf.fills_path), *columns) == as_rows(
+        scan_normalized(spark, other.fills_path), *columns
+    )
+
+
+@pytest.mark.parametrize("sort", [(), ("x",)])
+def test_a_heavy_date_is_written_in_several_files(spark, folder, sort):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
         rows = spark.range(60000).select(
             F.when(F.col("id") % 3 > 0, F.lit(day(1))).otherwise(F.lit(day(2))).alias("date"),
             F.sha2(F.col("id").cast("string"), 256).alias("x"),
         )
-        write_by_date(rows, f"{folder}/t", days=[day(1), day(2)])
+        write_by_date(rows, f"{folder}/t", days=[day(1), day(2)], sort=sort)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     parts = [name for name in os.listdir(f"{folder}/t/date=2025-08-01") if name.endswith(".parquet")]

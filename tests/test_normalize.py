@@ -160,9 +160,9 @@ def test_plan_status_without_fallback(spark):
     )
     plan = normalize.source_plan(files)
     assert as_rows(plan) == [
-        (date(2025, 3, 1), None, 0, 0, "no_data"),
-        (date(2025, 5, 25), NODE_FILLS, 2, 15, "success"),
-        (date(2025, 6, 10), NODE_FILLS, 0, 0, "no_files"),
+        (date(2025, 3, 1), None, 0, 0, 0, "no_data"),
+        (date(2025, 5, 25), NODE_FILLS, 2, 15, 8, "success"),
+        (date(2025, 6, 10), NODE_FILLS, 0, 0, 0, "no_files"),
     ]
     done = spark.createDataFrame([(date(2025, 5, 25),)], "date date")
     assert normalize.pending(plan, done).count() == 2
