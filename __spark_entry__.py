@@ -15,8 +15,8 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_queries  # noqa: E402
 from fillmetrics import FillAnalytics  # noqa: E402
 from fillmetrics import adapters as ad  # noqa: E402
-from fillmetrics.operators import activity, assets, cohorts, inventory, marts, normalize, quality  # noqa: E402
-from fillmetrics.schema import NODE_FILLS, NODE_FILLS_BY_BLOCK, NODE_TRADES, NORMALIZED  # noqa: E402
+from fillmetrics.operators import activity, inventory, marts, normalize, quality  # noqa: E402
+from fillmetrics.schema import NODE_FILLS, NODE_FILLS_BY_BLOCK, NODE_TRADES  # noqa: E402
 from fillmetrics.sources.raw import count_lines  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]

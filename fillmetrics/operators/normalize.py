@@ -19,7 +19,6 @@ from fillmetrics.schema import (
     NUMERIC,
     RAW_BLOCK,
     RAW_FILL,
-    RAW_PAIR,
     RAW_PARTY,
     RAW_TRADE,
     REQUIRED,
@@ -41,12 +40,6 @@ def _parsed(df: DataFrame, text: str, schema: str, *keep: str | Column) -> DataF
     return df.select(*keep, F.inline(F.array(F.from_json(text, schema))))
 
 
-def _paired(df: DataFrame, text: str, *keep: str | Column) -> DataFrame:
-    """``keep`` and the two members of a pair ``[user, {fill}]`` as text."""
-    pairs = df.select(*keep, F.explode(F.array(F.from_json(text, RAW_PAIR))).alias("pair"))
-    return pairs.select(*keep, F.get("pair", F.lit(0)).alias("user"), F.get("pair", F.lit(1)).alias("fill"))
-
-
 def _unified(df: DataFrame, found: dict[str, Column], text: Column) -> DataFrame:
     """Project onto the stored columns (absent ones become null) and judge each row."""
     columns = [found.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in NORMALIZED]
@@ -56,6 +49,11 @@ def _unified(df: DataFrame, found: dict[str, Column], text: Column) -> DataFrame
     return df.select(*columns, "date", text.alias("text")).select("*", defect.alias("defect"))
 
 
+# ``["user",{...}]`` to ``{"user":"user","fill":{...}}``; escapes inside the user text are carried over unread.
+PAIR_LINE = r'(?s)^\s*\[\s*"((?:[^"\\]|\\.)*+)"\s*,\s*(\{.*\})\s*\]\s*$'
+PAIR_OBJECT = '{"user":"$1","fill":$2}'
+
+
 def _lost_array(name: str) -> Column:
     """True where a record has no array although its line is broken or holds something else under that name."""
     line = F.col("value")
@@ -104,8 +102,14 @@ def _fill_columns() -> dict[str, Column]:
 
 
 def convert_fills(raw: DataFrame) -> DataFrame:
-    """A pair ``[user, {fill}]`` becomes one fill."""
-    fills = _parsed(_paired(raw, "value", "date", "value"), "fill", RAW_FILL, "date", "value", "user")
+    """A pair ``[user, {fill}]`` becomes one fill.
+
+    A pair mixes types, which a schema cannot describe. Its frame is rewritten to an object with two fields, so that
+    one parse reads and checks everything; a line of any other shape stays as it is and fails that parse.
+    """
+    rewritten = raw.select("date", "value", F.regexp_replace("value", PAIR_LINE, PAIR_OBJECT).alias("object"))
+    pairs = _parsed(rewritten, "object", f"user string, fill struct<{RAW_FILL}>", "date", "value")
+    fills = pairs.select("date", "value", "user", "fill.*")
     return _unified(fills, _fill_columns() | {"dataset_source": F.lit(NODE_FILLS)}, F.col("value"))
 
 

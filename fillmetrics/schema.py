@@ -78,8 +78,7 @@ RAW_FILL = (
     "cloid string, builder string, builderFee string"
 )
 
-# A pair [user, {fill}] mixes types, so its members are first taken as text.
-RAW_PAIR = "array<string>"
+# The events of a block are pairs [user, {fill}] of mixed types, so their members are first taken as text.
 RAW_BLOCK = "block_number bigint, block_time string, local_time string, events array<array<string>>"
 
 REQUIRED = ("coin", "px", "sz", "side", "time", "hash", "user_address")

@@ -67,6 +67,10 @@ BAD = [
     (NODE_FILLS, FILL.replace('"hash":"0xf1",', "")),
     (NODE_FILLS, FILL.replace("1750000000000", '"soon"')),
     (NODE_FILLS, '["0xa"]'),
+    (NODE_FILLS, FILL + "x"),
+    (NODE_FILLS, FILL[:-1] + ",1]"),
+    (NODE_FILLS, FILL[:-1] + ",{}]"),
+    (NODE_FILLS, FILL.replace('"0xa"', "5")),
     (NODE_FILLS, "no json"),
     (NODE_FILLS_BY_BLOCK, BLOCK[:-4]),
     (NODE_FILLS_BY_BLOCK, '{"events":{"a":1}}'),
@@ -95,7 +99,16 @@ def test_unknown_handling_of_bad_rows_is_refused(spark):
 def test_json_is_parsed_once_per_row(spark):
     out = good(raw(spark, NODE_FILLS, FILL), NODE_FILLS)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 2
+    assert plan.count("from_json") == 1
+
+
+def test_pairs_of_unusual_spelling(spark):
+    lines = [
+        ' [ "0xa" , {"coin":"E}]H","px":"1","sz":"1","side":"B","time":1,"hash":"h","extra":{"a":[{"b":1}]}} ] ',
+        '["0\\"a$1",{"coin":"\u2028","px":"1","sz":"1","side":"B","time":1,"hash":"h"}]\r',
+    ]
+    rows = good(raw(spark, NODE_FILLS, *lines), NODE_FILLS).collect()
+    assert sorted((row.user_address, row.coin) for row in rows) == [('0"a$1', "\u2028"), ("0xa", "E}]H")]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
