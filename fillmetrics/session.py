@@ -64,6 +64,8 @@ def local_session(cpus: int | str = "*", app: str = "fillmetrics", memory: str =
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Noting the Python call site of every column costs more than a small query; clusters may keep it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
