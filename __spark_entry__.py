@@ -19,6 +19,11 @@ from fillmetrics.operators import activity, inventory, marts, normalize, quality
 from fillmetrics.schema import NODE_FILLS, NODE_FILLS_BY_BLOCK, NODE_TRADES  # noqa: E402
 from fillmetrics.sources.raw import count_lines  # noqa: E402
 
+try:
+    from fillmetrics.llm import registry as llm
+except ImportError:  # the library is complete without the operators for training text
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 BUCKETS = oracle_queries.BUCKETS
@@ -116,6 +121,10 @@ def _on_lines(ask: Callable[[FillAnalytics], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
+    return _core_queries() | (llm.queries() if llm else {})
+
+
+def _core_queries() -> dict[str, Query]:
     return {
         # raw records, source choice, typed fills
         "normalize_trades": _converted(ad.raw_trades, NODE_TRADES),
@@ -208,4 +217,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_sql()
+    return oracle_queries.all_sql() | (llm.oracle_sql() if llm else {})
