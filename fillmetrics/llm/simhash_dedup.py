@@ -74,14 +74,18 @@ def trie_pairs(prints: DataFrame, budget: int = BUDGET, depths: tuple[int, ...]
     """Pairs ``a``, ``b`` of different values of ``prints.fp`` that differ in at most ``budget`` bits, each once."""
     spark = prints.sparkSession
     leaves = prints.select("fp").distinct()
-    frontier = spark.range(1).select(
-        F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("errors")
+    above, *deeper = depths
+    # Pairs of patterns at the first depth; the next step finds out which of them exist.
+    frontier = (
+        spark.range(1 << (2 * above))
+        .select(F.shiftright("id", above).alias("a"), F.col("id").bitwiseAND((1 << above) - 1).alias("b"))
+        .withColumn("errors", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))))
+        .where((F.col("a") <= F.col("b")) & (F.col("errors") <= budget))
     )
-    above = 0
-    for depth in depths:
+    for depth in deeper:
         step = depth - above
         node = F.shiftrightunsigned("fp", BITS - depth) if depth < BITS else F.col("fp")
-        parent = F.shiftrightunsigned("fp", BITS - above) if above else F.lit(0).cast("long")
+        parent = F.shiftrightunsigned("fp", BITS - above)
         children = leaves.select(parent.alias("parent"), node.alias("child")).distinct()
         left = children.select(F.col("parent").alias("a"), F.col("child").alias("a_child"))
         right = children.select(F.col("parent").alias("b"), F.col("child").alias("b_child"))
