@@ -116,15 +116,15 @@ def decontaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, pe
 
 SQL = r"""
 WITH d AS (
-    SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^\pL\pN]+', ' ', 'g')), ' '), w -> w <> '') AS ws
+    SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^\pL\pN]+', ' ', 'g')), ' '), lambda w: w <> '') AS ws
     FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ), ds AS (
-    SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i+4], ' '))) AS s FROM d
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) AS s FROM d
 ), b AS (
-    SELECT item_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^\pL\pN]+', ' ', 'g')), ' '), w -> w <> '') AS ws
+    SELECT item_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^\pL\pN]+', ' ', 'g')), ' '), lambda w: w <> '') AS ws
     FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
 ), bs AS (
-    SELECT DISTINCT item_id, unnest(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i+4], ' '))) AS s FROM b
+    SELECT DISTINCT item_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) AS s FROM b
 ), n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS shared, n_shingles, count(*) / n_shingles AS containment
 FROM ds JOIN bs USING (s) JOIN n USING (item_id)

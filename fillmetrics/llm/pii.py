@@ -165,8 +165,7 @@ class Field:
         chain = [(k - 1, k) for k in range(1, len(nodes))]
         skip, last = [], {}
         for k, node in enumerate(nodes):
-            keys = {node.text.lower()} | ({node.digits} if len(node.digits) >= 4 else set())
-            for key in keys:
+            for key in _keys(node):
                 if key in last:
                     skip.append((last[key], k))
                 last[key] = k
@@ -202,11 +201,14 @@ class Field:
         nodes = nodes_of(text, spans)
         if all(node.label != OUTSIDE for node in nodes):
             return []
+        supported = _supported(nodes)
+        if not any(supported):
+            return []
         best = self.marginals(nodes)
         added: list[Span] = []
-        for node, chances in zip(nodes, best):
+        for node, chances, kinds in zip(nodes, best, supported):
             label = int(chances.argmax())
-            if node.label != OUTSIDE or label == OUTSIDE or chances[label] < CERTAIN:
+            if label not in kinds or chances[label] < CERTAIN:
                 continue
             if added and added[-1][0] == label and text[added[-1][2] : node.start] in (" ", "-"):
                 added[-1] = (label, added[-1][1], node.end)
@@ -215,6 +217,21 @@ class Field:
         return added
 
 
+def _keys(node: Node) -> set[str]:
+    """What makes a token the same as another: its text, or four digits and more."""
+    return {node.text.lower()} | ({node.digits} if len(node.digits) >= 4 else set())
+
+
+def _supported(nodes: list[Node]) -> list[set[int]]:
+    """Per free node, the base labels of the nodes it shares a key with; evidence from elsewhere adds no span."""
+    labels: dict[str, set[int]] = defaultdict(set)
+    for node in nodes:
+        if node.label != OUTSIDE:
+            for key in _keys(node):
+                labels[key].add(node.label)
+    return [set().union(*(labels[key] for key in _keys(node) if key in labels)) if node.label == OUTSIDE else set() for node in nodes]
+
+
 def _softmax(scores: np.ndarray) -> np.ndarray:
     odds = np.exp(scores - scores.max(axis=1, keepdims=True))
     return odds / odds.sum(axis=1, keepdims=True)

@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fillmetrics.llm import decontamination, language_id, packing, pii, quality, secret_scan, simhash_dedup, toxicity
+from fillmetrics.llm import decontamination, html_text, language_id, license_scan, packing, pii, quality, secret_scan, simhash_dedup, toxicity
 from fillmetrics.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -41,6 +46,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_texts(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -75,9 +85,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_toxicity": op2_toxicity,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_secret_scan": op4_secret_scan,
+        "op5_html_text": op5_html_text,
         "op6_quality_rules": op6_quality_rules,
         "op7_pii": op7_pii,
         "op8_language_id": op8_language_id,
@@ -88,4 +100,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secret_scan": secret_scan.sql(), "op10_decontamination": decontamination.SQL}
+    return {"op1_license_scan": license_scan.sql(), "op4_secret_scan": secret_scan.sql(), "op10_decontamination": decontamination.SQL}

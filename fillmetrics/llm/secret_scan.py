@@ -137,8 +137,8 @@ def sql() -> str:
     joined = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place)"
     return f"""
 WITH every AS ({every}), spans AS (
-    SELECT doc_id, kind, place, list_sum(list_transform(pieces[1:i], x -> length(x))) AS e,
-        list_sum(list_transform(pieces[1:i], x -> length(x))) - length(matches[i]) AS s
+    SELECT doc_id, kind, place, list_sum(list_transform(pieces[1:i], lambda x: length(x))) AS e,
+        list_sum(list_transform(pieces[1:i], lambda x: length(x))) - length(matches[i]) AS s
     FROM every WHERE coalesce(matches[i], '') <> '' AND length(judged[i]) >= least
 ), by_doc AS (
     SELECT doc_id, {counts}, sha256(coalesce({joined} FILTER (kind IN ({base})), '')) AS base_sha256, {joined} AS spans
