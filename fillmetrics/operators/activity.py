@@ -67,6 +67,28 @@ def approx_dau(fills: DataFrame, start=None, end=None, rsd: float = 0.05) -> Dat
     )
 
 
+def approx_dau_check(
+    fills: DataFrame, start=None, end=None, rsd: float = 0.05, tolerance: float = 4.0
+) -> DataFrame:
+    """Exact daily users and whether the estimate lies within ``tolerance`` standard deviations (one user at least)."""
+    return (
+        in_dates(fills, start, end)
+        .groupBy("date")
+        .agg(
+            F.count_distinct("user_address").alias("dau"),
+            F.approx_count_distinct("user_address", rsd).alias("estimate"),
+        )
+        .select(
+            "date",
+            "dau",
+            (F.abs(F.col("estimate") - F.col("dau")) <= F.greatest(F.lit(1.0), F.lit(tolerance * rsd) * F.col("dau"))).alias(
+                "within"
+            ),
+        )
+        .orderBy("date")
+    )
+
+
 def new_users(first_trades: DataFrame) -> DataFrame:
     """New users per day, ``date, new_users``; a day without any is absent."""
     return (

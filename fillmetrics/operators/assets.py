@@ -25,13 +25,15 @@ def top_users(volumes: DataFrame, limit: int = 100, start=None, end=None) -> Dat
         .orderBy(F.desc("total_volume"), F.asc_nulls_last("user_address"))
         .limit(limit)
     )
-    leaders = ranked.withColumnRenamed("user_address", "leader")
+    leaders = ranked.select(F.col("user_address").alias("leader"))
+    # A semi join moves below the aggregate that makes the volumes; an inner join would aggregate everything again.
     detail = (
         scope.select("date", "coin", "user_address")
-        .join(leaders, F.col("user_address").eqNullSafe(F.col("leader")))
-        .groupBy("user_address", "total_trades", "total_volume")
+        .join(leaders, F.col("user_address").eqNullSafe(F.col("leader")), "left_semi")
+        .groupBy(F.col("user_address").alias("counted"))
         .agg(F.count_distinct("date").alias("active_days"), F.count_distinct("coin").alias("unique_coins"))
     )
+    detail = ranked.join(detail, F.col("user_address").eqNullSafe(F.col("counted")))
     return detail.orderBy(F.desc("total_volume"), F.asc_nulls_last("user_address")).select(
         "user_address",
         "total_trades",
@@ -68,9 +70,10 @@ def coin_statistics(volumes: DataFrame, start=None, end=None) -> DataFrame:
 def top_assets(volumes: DataFrame, limit: int = 20, start=None, end=None) -> DataFrame:
     """The first ``limit`` coins with the number of all coins traded beside them."""
     totals = _coin_totals(volumes, start, end)
-    counted = totals.select("*", F.count(F.lit(1)).over(Window.partitionBy()).alias("unique_assets"))
+    counted = totals.agg(F.count(F.lit(1)).alias("unique_assets"))
     return (
-        counted.orderBy(F.desc("total_volume"), F.asc_nulls_last("coin"))
+        totals.withColumn("unique_assets", counted.scalar())
+        .orderBy(F.desc("total_volume"), F.asc_nulls_last("coin"))
         .limit(limit)
         .select(
             "coin",

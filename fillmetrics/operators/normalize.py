@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fillmetrics.functions.values import iso_millis
 from fillmetrics.schema import (
     CATALOG,
+    EXACT_TYPES,
     NODE_FILLS,
     NODE_FILLS_BY_BLOCK,
     NODE_TRADES,
@@ -40,13 +43,34 @@ def _parsed(df: DataFrame, text: str, schema: str, *keep: str | Column) -> DataF
     return df.select(*keep, F.inline(F.array(F.from_json(text, schema))))
 
 
+def _checked(value: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """A text as a stored type, and whether it is a text of that type (or absent)."""
+    text = value.cast("string")
+    if isinstance(kind, T.StringType):
+        return text, F.lit(True)
+    if isinstance(kind, T.BooleanType):
+        cast = F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
+    else:
+        cast = text.try_cast(kind)
+    return cast, text.isNull() | cast.isNotNull()
+
+
 def _unified(df: DataFrame, found: dict[str, Column], text: Column) -> DataFrame:
-    """Project onto the stored columns (absent ones become null) and judge each row."""
-    columns = [found.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in NORMALIZED]
-    absent = [F.col(name).isNull() for name in REQUIRED]
-    names = F.concat_ws(", ", *[F.when(gone, F.lit(name)) for gone, name in zip(absent, REQUIRED)])
-    defect = F.when(reduce(or_, absent), F.concat(F.lit("missing or unreadable: "), names))
-    return df.select(*columns, "date", text.alias("text")).select("*", defect.alias("defect"))
+    """Project onto the stored columns (absent ones become null) and judge each row.
+
+    A row is defective if a required value is absent or any value is there but not of its column's type.
+    """
+    columns, wrong = [], []
+    for field in NORMALIZED:
+        cast, fits = _checked(found.get(field.name, F.lit(None)), field.dataType)
+        columns.append(cast.alias(field.name))
+        absent = cast.isNull() if field.name in REQUIRED else F.lit(False)
+        if field.name in REQUIRED or not isinstance(field.dataType, T.StringType):
+            wrong.append(F.when(absent | ~fits, F.lit(field.name)))
+    names = F.concat_ws(", ", *wrong)
+    judged = df.select(*columns, "date", text.alias("text"), names.alias("names"))
+    defect = F.when(F.col("names") != "", F.concat(F.lit("missing or unreadable: "), F.col("names")))
+    return judged.withColumn("defect", defect).drop("names")
 
 
 # ``["user",{...}]`` to ``{"user":"user","fill":{...}}``; escapes inside the user text are carried over unread.
@@ -189,6 +213,20 @@ def source_for(day: Column, catalog: Sequence[SourceSpec] = CATALOG) -> Column:
     return chosen
 
 
+def overlaps(catalog: Sequence[SourceSpec] = CATALOG) -> list[tuple[date, str]]:
+    """First and last days on which sources of the catalog meet, with the source that counts."""
+    chosen = lambda day: min((s for s in catalog if s.start <= day <= s.end), key=lambda s: (s.priority, s.dataset))
+    days = {
+        edge
+        for one in catalog
+        for other in catalog
+        if one != other
+        for edge in (max(one.start, other.start), min(one.end, other.end))
+        if max(one.start, other.start) <= min(one.end, other.end)
+    }
+    return [(day, chosen(day).dataset) for day in sorted(days)]
+
+
 def winning_rows(df: DataFrame, catalog: Sequence[SourceSpec] = CATALOG, dataset: str = "dataset") -> DataFrame:
     """Rows (lines, fills or files) of the chosen source of their date; the date comes from the directory."""
     return df.where(F.col(dataset) == source_for(F.col("date"), catalog))
@@ -259,14 +297,36 @@ def run_statistics(status: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------------------------------
 
 
+def _number(name: str, numeric: str) -> tuple[Column, Column]:
+    """A text column as a number, and whether nothing of it was lost."""
+    text = F.trim(F.col(name))
+    cast = text.try_cast(EXACT_TYPES[name] if numeric == NUMERIC else numeric)
+    if numeric != NUMERIC and not numeric.startswith("decimal"):
+        return cast, cast.isNotNull()
+    # The widest type with room for the integer digits tells a rounded value from an equal one; digits beyond its scale
+    # are counted in the text.
+    fraction = F.length(F.regexp_extract(text, r"\.([0-9]*?)0*$", 1))
+    exact = (cast.cast("decimal(38,18)") == text.try_cast("decimal(38,18)")) & (fraction <= 18)
+    return cast, cast.isNotNull() & exact
+
+
 def typed_fills(normalized: DataFrame, numeric: str = NUMERIC, strict: bool = True) -> DataFrame:
-    """The ten query columns with their types.
+    """The ten query columns with their types: per column (``exact``) or the type named for all four amounts.
 
-    ``strict`` raises on text that is no number; otherwise such values become null (see :func:`count_untyped`).
+    ``strict`` raises on text that is no number or has more digits than its type; otherwise such values become null
+    (see :func:`count_untyped`).
     """
+
     def number(name: str) -> Column:
-        text = F.col(name)
-        return (text.cast(numeric) if strict else text.try_cast(numeric)).alias(name)
+        cast, whole = _number(name, numeric)
+        lost = F.col(name).isNotNull() & ~F.coalesce(whole, F.lit(False))
+        if strict:
+            told = F.concat(F.lit(f"no exact {name}: "), F.col(name))
+            return F.when(lost, F.raise_error(told).cast(cast_type(name))).otherwise(cast).alias(name)
+        return F.when(~lost, cast).alias(name)
+
+    def cast_type(name: str) -> str:
+        return EXACT_TYPES[name] if numeric == NUMERIC else numeric
 
     return normalized.select(
         F.col("date").cast("date").alias("date"),
@@ -283,10 +343,12 @@ def typed_fills(normalized: DataFrame, numeric: str = NUMERIC, strict: bool = Tr
 
 
 def count_untyped(normalized: DataFrame, numeric: str = NUMERIC) -> DataFrame:
-    """How many values per numeric column are text that is no number."""
+    """How many values per amount are text that its type cannot hold as it stands."""
     return normalized.agg(
         *[
-            F.count(F.when(F.col(name).isNotNull() & F.col(name).try_cast(numeric).isNull(), F.lit(1))).alias(name)
-            for name in ("px", "sz", "closed_pnl", "fee")
+            F.count(
+                F.when(F.col(name).isNotNull() & ~F.coalesce(_number(name, numeric)[1], F.lit(False)), F.lit(1))
+            ).alias(name)
+            for name in EXACT_TYPES
         ]
     )

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from fillmetrics.functions.buckets import CUMULATIVE, DAILY_BUCKETS, HORIZONS, USER_BUCKETS
 from fillmetrics.functions.filters import as_list, in_dates
 from fillmetrics.functions.values import to_double
-from fillmetrics.operators import activity, assets, cohorts, marts, normalize, reports
+from fillmetrics.operators import activity, assets, cohorts, marts, reports
 from fillmetrics.plans import marts as stored
 from fillmetrics.schema import NUMERIC
-from fillmetrics.sources.tables import scan_normalized, scan_table
+from fillmetrics.sources.tables import scan_table
 
 Coins = str | Iterable[str] | None
 
@@ -39,7 +39,10 @@ class FillAnalytics:
         self.mart_dir = mart_dir
         self.numeric = numeric
         self.sides = tuple(sides)
-        if rebuild or not stored.marts_exist(spark, mart_dir):
+        self._state = None if rebuild else stored.finished_state(spark, mart_dir)
+        if self._state:
+            self._state.require(self.sides, numeric)
+        else:
             self.rebuild_database()
 
     @classmethod
@@ -53,13 +56,14 @@ class FillAnalytics:
         made.daily_user_volume = marts.daily_user_volume(fills, made.sides)
         made.user_daily_volume = marts.user_daily_volume_from_fills(fills, sides=made.sides)
         made.user_first_trade = marts.user_first_trade(fills)
-        made.daily_metrics = marts.daily_metrics(fills)
+        made.daily_metrics = marts.daily_metrics_from_activity(made.user_activity, fills)
         return made
 
     def rebuild_database(self) -> None:
         """Build all marts again from the stored fills."""
         stored.build_marts(self.spark, self.data_dir, self.mart_dir, sides=self.sides, numeric=self.numeric)
-        for name in ("fills", *stored.BY_DATE, stored.FIRST_TRADES):
+        self._state = stored.finished_state(self.spark, self.mart_dir)
+        for name in stored.TABLES:
             self.__dict__.pop(name, None)
 
     def _mart(self, name: str) -> DataFrame:
@@ -67,7 +71,7 @@ class FillAnalytics:
 
     @cached_property
     def fills(self) -> DataFrame:
-        return normalize.typed_fills(scan_normalized(self.spark, self.data_dir), self.numeric)
+        return self._mart(stored.FILLS)
 
     @cached_property
     def user_activity(self) -> DataFrame:
@@ -75,6 +79,9 @@ class FillAnalytics:
 
     @cached_property
     def daily_user_volume(self) -> DataFrame:
+        """One side's volumes are rows of the activity table; several sides have a table of their own."""
+        if len(set(self.sides)) == 1:
+            return marts.daily_user_volume_from_activity(self.user_activity, self.sides)
         return self._mart(stored.VOLUMES)
 
     @cached_property
@@ -83,11 +90,11 @@ class FillAnalytics:
 
     @cached_property
     def user_first_trade(self) -> DataFrame:
-        return self._mart(stored.FIRST_TRADES)
+        return scan_table(self.spark, self._state.first_trades)
 
     @cached_property
     def daily_metrics(self) -> DataFrame:
-        return self._mart(stored.METRICS)
+        return scan_table(self.spark, self._state.metrics)
 
     def user_totals(self, coins: Coins = None) -> DataFrame:
         """User-day totals: the stored table for all coins, an aggregate for a selection."""

@@ -1,13 +1,20 @@
 """Building and refreshing the stored summaries.
 
-Layout below the mart root: ``user_activity``, ``daily_user_volume``, ``user_daily_volume`` and ``daily_metrics`` are
-partitioned by date and replaced date by date; ``user_first_trade`` is one table.
+Layout below the mart root: ``fills`` (typed), ``user_activity``, ``user_daily_volume`` and, if several sides count,
+``daily_user_volume`` are partitioned by date and replaced date by date. ``user_first_trade`` and ``daily_metrics`` are
+tables of a new folder per build, since they are read while they are made.
+
+``state`` is written last. It holds the settings, the folders that count, and for each date the last file of the fills
+the marts were made from. Whatever was interrupted or rewritten since differs from it and is made again. One job at a
+time may write below a mart root.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,30 +23,83 @@ from pyspark.sql import functions as F
 from fillmetrics.operators import marts, normalize
 from fillmetrics.schema import NUMERIC
 from fillmetrics.session import sized_shuffles
-from fillmetrics.sources.listing import stored_bytes, stored_dates
-from fillmetrics.sources.tables import (
-    checkpointed,
-    scan_normalized,
-    scan_table,
-    table_exists,
-    write_by_date,
-    write_whole,
-)
+from fillmetrics.sources.listing import list_files, stored_files
+from fillmetrics.sources.tables import scan_normalized, scan_table, write_by_date, write_whole
 
+FILLS = "fills"
 ACTIVITY = "user_activity"
 VOLUMES = "daily_user_volume"
 TOTALS = "user_daily_volume"
 METRICS = "daily_metrics"
 FIRST_TRADES = "user_first_trade"
-BY_DATE = (ACTIVITY, VOLUMES, TOTALS, METRICS)
+TABLES = (FILLS, ACTIVITY, VOLUMES, TOTALS, METRICS, FIRST_TRADES)
+
+STATE = "date date, last_file string, sides string, numeric string, first_trades string, metrics string"
 
 
 def mart_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+@dataclass(frozen=True)
+class State:
+    """What the marts below a root were made of; without folders they are unfinished."""
+
+    sides: tuple[str, ...]
+    numeric: str
+    first_trades: str | None = None
+    metrics: str | None = None
+    dates: dict[date, str] = field(default_factory=dict)
+
+    def require(self, sides: Iterable[str], numeric: str) -> None:
+        """Raise unless the marts mean what is asked for."""
+        if (self.sides, self.numeric) != (_sides(sides), numeric):
+            raise ValueError(
+                f"marts were built with sides={self.sides} and numeric={self.numeric!r}, not with "
+                f"sides={_sides(sides)} and numeric={numeric!r}; ask for the former or rebuild them"
+            )
+
+
+def _sides(sides: Iterable[str]) -> tuple[str, ...]:
+    return tuple(sorted(set(sides)))
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    number = F.regexp_extract("path", r"/state/(\d+)/[^/]+$", 1)
+    found = list_files(spark, mart_path(root, "state"), "*.parquet").select(number.alias("n")).where(F.col("n") != "")
+    return sorted({int(row.n) for row in found.collect()})
+
+
+def read_state(spark: SparkSession, root: str) -> State | None:
+    """The state written last (one row per stored date passes through the driver)."""
+    versions = _versions(spark, root)
+    if not versions:
+        return None
+    rows = spark.read.schema(STATE).parquet(mart_path(root, f"state/{versions[-1]:09d}")).collect()
+    return State(
+        tuple(rows[0].sides.split(",")),
+        rows[0].numeric,
+        rows[0].first_trades,
+        rows[0].metrics,
+        {row.date: row.last_file for row in rows if row.date is not None},
+    )
+
+
+def _write_state(spark: SparkSession, root: str, state: State) -> None:
+    """A new version in one file, which is there as a whole or not at all."""
+    settings = (",".join(state.sides), state.numeric, state.first_trades, state.metrics)
+    rows = [(day, name, *settings) for day, name in [(None, None), *sorted(state.dates.items())]]
+    number = max(_versions(spark, root), default=0) + 1
+    spark.createDataFrame(rows, STATE).coalesce(1).write.parquet(mart_path(root, f"state/{number:09d}"))
+
+
+def finished_state(spark: SparkSession, root: str) -> State | None:
+    state = read_state(spark, root)
+    return state if state and state.first_trades and state.metrics else None
+
+
 def marts_exist(spark: SparkSession, root: str) -> bool:
-    return all(table_exists(spark, mart_path(root, name)) for name in (*BY_DATE, FIRST_TRADES))
+    return finished_state(spark, root) is not None
 
 
 def build_marts(
@@ -53,10 +113,20 @@ def build_marts(
 ) -> None:
     """Build all marts, or bring them up to date for ``days`` after those dates were written or rewritten.
 
-    First trades are recomputed from ``user_activity``, because a rewritten date may remove a user's first trade.
-    ``append_only`` promises that ``days`` only add fills; then the new dates are merged into the stored table.
+    Other ``sides`` or ``numeric`` than those of existing marts raise before anything is written. First trades are
+    merged; only users whose stored first trade lies in a rewritten date are looked up in the whole history, and none if
+    ``append_only`` promises that ``days`` only add fills.
     """
-    days = None if days is None else sorted(set(days))
+    sides = _sides(sides)
+    before = finished_state(spark, root) if days is not None else None
+    days = None if before is None else sorted(set(days))
+    if before is not None:
+        before.require(sides, numeric)
+    # Listed before anything is read: what is written from now on will differ from it.
+    listed = stored_files(spark, fills_path).collect()
+    held = {row.date: row.last_file for row in listed}
+    if days is None:
+        _write_state(spark, root, State(sides, numeric))
 
     def of_days(df: DataFrame) -> DataFrame:
         return df if days is None else df.where(F.col("date").isin(days))
@@ -67,37 +137,54 @@ def build_marts(
     def read(name: str) -> DataFrame:
         return scan_table(spark, mart_path(root, name))
 
-    fills = of_days(normalize.typed_fills(scan_normalized(spark, fills_path), numeric))
-    with sized_shuffles(spark, stored_bytes(spark, fills_path)):
+    first_path, metrics_path = (mart_path(root, f"{name}/{uuid.uuid4().hex}") for name in (FIRST_TRADES, METRICS))
+    with sized_shuffles(spark, sum(row.bytes for row in listed if days is None or row.date in days)):
+        store(of_days(normalize.typed_fills(scan_normalized(spark, fills_path), numeric)), FILLS, "side", "coin")
+        fills = of_days(read(FILLS))
         store(marts.user_activity(fills), ACTIVITY, "side", "coin")
         activity = of_days(read(ACTIVITY))
 
         def store_volumes() -> None:
-            store(marts.daily_user_volume_from_activity(activity, sides), VOLUMES, "coin")
-            store(marts.user_daily_volume(of_days(read(VOLUMES))), TOTALS)
+            volumes = marts.daily_user_volume_from_activity(activity, sides)
+            if len(sides) > 1:
+                store(volumes, VOLUMES, "coin")
+                volumes = of_days(read(VOLUMES))
+            store(marts.user_daily_volume(volumes), TOTALS)
 
         def store_metrics() -> None:
-            store(marts.daily_metrics_from_activity(activity, fills), METRICS)
+            metrics = marts.daily_metrics_from_activity(activity, fills)
+            if before is not None:
+                metrics = metrics.unionByName(scan_table(spark, before.metrics).where(~F.col("date").isin(days)))
+            # One row per date.
+            metrics.coalesce(1).write.parquet(metrics_path)
 
         def store_first_trades() -> None:
-            path = mart_path(root, FIRST_TRADES)
-            if append_only and days is not None and table_exists(spark, path):
-                known = scan_table(spark, path).withColumnRenamed("first_trade_date", "date")
-                merged = marts.user_first_trade(known.unionByName(activity.select("user_address", "date")))
-                # The table is read and replaced in one go, so its new content is set down elsewhere first.
-                write_whole(checkpointed(merged, mart_path(root, "_checkpoints")), path)
-            else:
-                write_whole(marts.user_first_trade(read(ACTIVITY)), path)
-
-        # The three depend on the activity table only; submitted together they fill the cluster better.
+            seen = activity.select("user_address", "date")
+            if before is not None:
+                known = scan_table(spark, before.first_trades).withColumnRenamed("first_trade_date", "date")
+                rewritten = [] if append_only else [day for day in days if day in before.dates]
+                lost = known.where(F.col("date").isin(rewritten)).select(F.col("user_address").alias("lost"))
+                seen = seen.unionByName(known.where(~F.col("date").isin(rewritten)))
+                if rewritten:
+                    history = read(ACTIVITY).select("user_address", "date")
+                    seen = seen.unionByName(
+                        history.join(lost, F.col("user_address").eqNullSafe(F.col("lost")), "left_semi")
+                    )
+            write_whole(marts.user_first_trade(seen), first_path)
+
+        # The three depend on fills and activity only; submitted together they fill the cluster better.
         with ThreadPoolExecutor(3) as pool:
             for done in [pool.submit(step) for step in (store_volumes, store_metrics, store_first_trades)]:
                 done.result()
 
+    made = held if days is None else before.dates | {day: held[day] for day in days if day in held}
+    kept = {day: name for day, name in made.items() if day in held}
+    _write_state(spark, root, State(sides, numeric, first_path, metrics_path, kept))
+
 
 def stale_dates(spark: SparkSession, fills_path: str, root: str) -> list[date]:
-    """Stored dates that the marts do not hold yet (one entry per date)."""
-    missing = normalize.pending(
-        stored_dates(spark, fills_path), stored_dates(spark, mart_path(root, METRICS))
-    )
-    return sorted(row.date for row in missing.collect())
+    """Dates whose stored fills are not those the marts were made from (one entry per date)."""
+    state = finished_state(spark, root)
+    made = state.dates if state else {}
+    held = {row.date: row.last_file for row in stored_files(spark, fills_path).collect()}
+    return sorted(day for day in held.keys() | made.keys() if held.get(day) != made.get(day))

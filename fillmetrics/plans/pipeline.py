@@ -21,11 +21,8 @@ from fillmetrics.sources.tables import scan_normalized, write_by_date
 
 PLAN = "date date, dataset string, files bigint, bytes bigint, largest bigint, status string"
 
-# Raw files at least this large already give output files of a good size, each for a single date.
-LARGE_RAW_FILE = 64 << 20
-
-# A raw file larger than this and than the fair share of one core would keep its task parsing long after the others;
-# its lines are spread first. Files that are all large but many are left alone, as every core has its share of them.
+# A raw file larger than this keeps one task decoding for long; its lines are dealt out before they are parsed. The
+# choice is made file by file, whatever else a run reads.
 SPREAD_RAW_FILE = 64 << 20
 
 # How much larger rows are in a shuffle than in a compressed raw file; only the number of partitions depends on it.
@@ -37,8 +34,7 @@ class PipelineConf:
     """Where data lives and what to run.
 
     ``on_bad`` is ``fail`` (one pass) or ``quarantine`` (a second pass collects the defective rows under
-    ``quarantine_path``). ``spread_raw_file`` fixes the file size above which lines are spread before parsing;
-    by default it follows from the input and the cores at hand.
+    ``quarantine_path``). ``spread_raw_file`` is the file size above which lines are spread before parsing.
     """
 
     raw_root: str
@@ -52,7 +48,7 @@ class PipelineConf:
     rebuild_marts: bool = False
     append_only: bool = False
     transport: str = "stream"
-    spread_raw_file: int | None = None
+    spread_raw_file: int = SPREAD_RAW_FILE
     numeric: str = NUMERIC
     sides: Sequence[str] = MARKET_SIDES
     catalog: Sequence[SourceSpec] = field(default=CATALOG)
@@ -76,20 +72,15 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
         return normalize.run_status(plan, spark.createDataFrame([], "date date, records bigint"))
 
     total = sum(row.bytes for row in chosen)
-    limit = conf.spread_raw_file
-    if limit is None:
-        limit = max(SPREAD_RAW_FILE, total // spark.sparkContext.defaultParallelism)
     raw = {
-        dataset: _read_dates(spark, conf, dataset, [row for row in chosen if row.dataset == dataset], limit)
+        dataset: _read_dates(spark, conf, dataset, [row for row in chosen if row.dataset == dataset])
         for dataset in sorted({row.dataset for row in chosen})
     }
     converted = normalize.convert_all(raw)
-    mean_size = total / sum(row.files for row in chosen)
-    by_date_already = mean_size >= LARGE_RAW_FILE and all(row.largest <= limit for row in chosen)
     days = [row.date for row in chosen]
     good = normalize.accepted(converted, conf.on_bad)
     with sized_shuffles(spark, total * RAW_INFLATION):
-        write_by_date(good, conf.fills_path, rebalance=not by_date_already, days=days)
+        write_by_date(good, conf.fills_path, days=days)
         if conf.on_bad == "quarantine":
             write_by_date(normalize.rejected(converted), conf.quarantine_path, days=days)
 
@@ -102,13 +93,13 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
     return normalize.run_status(plan, written)
 
 
-def _read_dates(spark: SparkSession, conf: PipelineConf, dataset: str, plan: list[Row], limit: int) -> DataFrame:
-    oversized = [row for row in plan if row.largest > limit]
+def _read_dates(spark: SparkSession, conf: PipelineConf, dataset: str, plan: list[Row]) -> DataFrame:
+    oversized = [row for row in plan if row.largest > conf.spread_raw_file]
     return read_raw(
         spark,
         [raw_directory(conf.raw_root, dataset, row.date) for row in plan],
         conf.transport,
-        spread_above=limit if oversized else None,
+        spread_above=conf.spread_raw_file if oversized else None,
         parts=math.ceil(sum(row.bytes for row in oversized) * RAW_INFLATION / BYTES_PER_PARTITION) or 1,
     )
 

@@ -66,23 +66,26 @@ NORMALIZED = T.StructType(
 
 NORMALIZED_PARTITIONED = T.StructType([*NORMALIZED.fields, T.StructField("date", T.DateType())])
 
-RAW_PARTY = "struct<user: string, start_pos: string, oid: bigint, cloid: string>"
+RAW_PARTY = "struct<user: string, start_pos: string, oid: string, cloid: string>"
 RAW_TRADE = (
     "coin string, px string, sz string, side string, time string, hash string, "
     f"side_info array<{RAW_PARTY}>"
 )
 
+# Scalars are read as text and cast with a check, so that a value of another type is seen instead of turning null.
 RAW_FILL = (
-    "coin string, px string, sz string, side string, time bigint, hash string, oid bigint, tid bigint, "
-    "startPosition string, dir string, closedPnl string, crossed boolean, fee string, feeToken string, "
+    "coin string, px string, sz string, side string, time string, hash string, oid string, tid string, "
+    "startPosition string, dir string, closedPnl string, crossed string, fee string, feeToken string, "
     "cloid string, builder string, builderFee string"
 )
 
 # The events of a block are pairs [user, {fill}] of mixed types, so their members are first taken as text.
-RAW_BLOCK = "block_number bigint, block_time string, local_time string, events array<array<string>>"
+RAW_BLOCK = "block_number string, block_time string, local_time string, events array<array<string>>"
 
 REQUIRED = ("coin", "px", "sz", "side", "time", "hash", "user_address")
 
-# px * sz of two DECIMAL(18,8) is DECIMAL(37,16); its sums keep 22 integer digits and do not depend on the order
-# in which partial sums arrive, so a re-run after an executor loss gives the same digits.
-NUMERIC = "decimal(18,8)"
+# Types of the query columns unless one type is asked for. px * sz is DECIMAL(38,20), whose sums keep 18 integer digits and
+# do not depend on the order in which partial sums arrive, so a re-run after an executor loss gives the same digits. A
+# value with more digits than its type is refused, not rounded.
+NUMERIC = "exact"
+EXACT_TYPES = {"px": "decimal(20,14)", "sz": "decimal(17,6)", "closed_pnl": "decimal(38,18)", "fee": "decimal(38,18)"}

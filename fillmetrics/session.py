@@ -27,14 +27,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# One shuffle partition per this much input before AQE merges small ones; the number itself stays below a size at
-# which the driver's bookkeeping per partition would hurt.
+# One shuffle partition per this much input before AQE merges small ones. A driver short of memory for very many
+# partitions wants a larger setting, not a ceiling, under which partitions would outgrow their tasks.
 BYTES_PER_PARTITION = 128 << 20
-MOST_PARTITIONS = 50_000
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+def sized_shuffles(
+    spark: SparkSession, input_bytes: int, bytes_per_partition: int = BYTES_PER_PARTITION
+) -> Iterator[int]:
     """Within the block, start shuffles with enough partitions for an input of known size.
 
     AQE merges what turns out small; a session default fit for small runs would put terabytes into a few hundred
@@ -43,7 +44,7 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(key, None)
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(default, math.ceil(input_bytes / BYTES_PER_PARTITION)), MOST_PARTITIONS)
+    wanted = max(default, math.ceil(input_bytes / bytes_per_partition))
     spark.conf.set(key, str(wanted))
     try:
         yield wanted

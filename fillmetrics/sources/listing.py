@@ -56,16 +56,13 @@ def list_raw(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
-    """``date, last_file`` per partition date of a stored table, from file names alone (no Parquet footer is read)."""
+    """``date, last_file, bytes`` per partition date of a stored table, from the listing alone (no footer is read)."""
     found = _scan(spark, path, "*.parquet", recursive=False)
     if found is None or "date" not in found.columns:
-        return spark.createDataFrame([], "date date, last_file string")
-    return found.groupBy(F.col("date").cast("date").alias("date")).agg(F.max("path").alias("last_file"))
-
-
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes in the files of a stored table (one number, summed where the listing runs)."""
-    return list_files(spark, path, "*.parquet").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        return spark.createDataFrame([], "date date, last_file string, bytes bigint")
+    return found.groupBy(F.col("date").cast("date").alias("date")).agg(
+        F.max("path").alias("last_file"), F.sum("length").alias("bytes")
+    )
 
 
 def stored_dates(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,16 +23,6 @@ def scan_normalized(spark: SparkSession, path: str) -> DataFrame:
     return scan_table(spark, path, NORMALIZED_PARTITIONED)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        scan_table(spark, path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
-
-
 def write_by_date(
     df: DataFrame,
     path: str,

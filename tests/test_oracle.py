@@ -23,18 +23,23 @@ def test_query_equals_sql(spark, connection, name):
     assert compare.difference(QUERIES[name](spark, SF), connection, SQL[name]) is None
 
 
-def test_only_the_approximate_query_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"approx_dau"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_approximate_users_are_close(spark):
-    exact = {row.date: row.dau for row in QUERIES["dau"](spark, SF).collect()}
-    close = {row.date: row.dau for row in QUERIES["approx_dau"](spark, SF).collect()}
+    metrics = contract._event_metrics(spark, SF)
+    exact = {row.date: row.dau for row in metrics.get_dau().collect()}
+    close = {row.date: row.dau for row in metrics.get_approx_dau().collect()}
     assert exact.keys() == close.keys()
     assert all(abs(close[on] - exact[on]) <= max(1, 0.15 * exact[on]) for on in exact)
 
 
+def test_checks_find_both_outcomes(spark):
+    for name in ("count_check", "overlap_check"):
+        assert {row.passed for row in QUERIES[name](spark, SF).collect()} == {True, False}
+
+
 def test_entry_runs(spark):
     rows = contract.entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {
