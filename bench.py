@@ -18,16 +18,20 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import pyarrow as pa  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from fillmetrics import FillAnalytics, PipelineConf  # noqa: E402
 from fillmetrics import adapters as ad  # noqa: E402
 from fillmetrics.plans.marts import build_marts  # noqa: E402
 from fillmetrics.plans.pipeline import normalize_dates  # noqa: E402
 from fillmetrics.session import local_session  # noqa: E402
+from fillmetrics.sources.tables import scan_normalized, write_by_date  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+# The larger mart build repeats the stored fills so many times, a third of them under one user.
+COPIES = int(os.environ.get("BENCH_COPIES", "20"))
 BUCKETS = [500, 1000, 2500]
 
 
@@ -81,6 +85,18 @@ def main() -> None:
     timings.update({name: statistics.median(took[1:]) for name, took in attempts.items()})
     stored_rows = spark.read.parquet(conf.fills_path).count()
 
+    copies = (
+        scan_normalized(spark, conf.fills_path)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
+        .withColumn(
+            "user_address",
+            F.when(F.col("copy") % 3 == 0, F.lit("0xhot")).otherwise(F.concat_ws("-", "user_address", "copy")),
+        )
+        .drop("copy")
+    )
+    write_by_date(copies, f"{folder}/large/fills", replace_all=True)
+    large_seconds = seconds(lambda: build_marts(spark, f"{folder}/large/fills", f"{folder}/large/marts"))
+
     opened = FillAnalytics(spark, conf.fills_path, conf.mart_root)
     line_fills = ad.fills_from_lineitem(*[ad.table(spark, SF_DIR, name) for name in ("lineitem", "orders", "part")])
     direct = FillAnalytics.from_fills(line_fills)
@@ -122,6 +138,9 @@ def main() -> None:
                 "stored_fills": stored_rows,
                 "normalize_fills_per_sec": round(stored_rows / timings["job_normalize"]),
                 "mart_fills_per_sec": round(stored_rows / timings["job_build_marts"]),
+                "large_mart_fills": stored_rows * COPIES,
+                "large_mart_seconds": round(large_seconds, 3),
+                "large_mart_fills_per_sec_and_core": round(stored_rows * COPIES / large_seconds / int(CPUS)),
             }
         )
     )

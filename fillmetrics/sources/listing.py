@@ -6,6 +6,9 @@ file; large listings run as a distributed job.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +18,12 @@ from fillmetrics.functions.values import path_date
 LISTING = "path string, size bigint, modified timestamp"
 
 
-def _scan(spark: SparkSession, path: str | list[str], pattern: str | None, recursive: bool) -> DataFrame | None:
+def _scan(
+    spark: SparkSession, path: str | list[str], pattern: str | None, recursive: bool, base: str | None = None
+) -> DataFrame | None:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if base:
+        reader = reader.option("basePath", base)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     try:
@@ -55,9 +62,17 @@ def list_raw(spark: SparkSession, root: str) -> DataFrame:
     return with_raw_location(list_files(spark, root, "*.lz4"))
 
 
-def stored_files(spark: SparkSession, path: str) -> DataFrame:
-    """``date, last_file, bytes`` per partition date of a stored table, from the listing alone (no footer is read)."""
-    found = _scan(spark, path, "*.parquet", recursive=False)
+def stored_files(spark: SparkSession, path: str, days: Iterable[date] | None = None) -> DataFrame:
+    """``date, last_file, bytes`` per partition date of a stored table, from the listing alone (no footer is read).
+
+    With ``days`` only the directories of those dates are listed, however many the table has.
+    """
+    place = path.rstrip("/")
+    if days is None:
+        found = _scan(spark, place, "*.parquet", recursive=False)
+    else:
+        names = ",".join(f"date={day:%Y-%m-%d}" for day in sorted(set(days)))
+        found = _scan(spark, f"{place}/{{{names}}}", "*.parquet", recursive=False, base=place) if names else None
     if found is None or "date" not in found.columns:
         return spark.createDataFrame([], "date date, last_file string, bytes bigint")
     return found.groupBy(F.col("date").cast("date").alias("date")).agg(

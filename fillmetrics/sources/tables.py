@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fillmetrics.schema import NORMALIZED_PARTITIONED
@@ -65,8 +64,7 @@ def _last_files(spark: SparkSession, path: str, days: Iterable[date] | None) ->
     """One file name for each of ``days`` that is stored."""
     if days is None:
         return {}
-    held = stored_files(spark, path).where(F.col("date").isin(list(days)))
-    return {row.date: row.last_file for row in held.collect()}
+    return {row.date: row.last_file for row in stored_files(spark, path, days).collect()}
 
 
 def write_whole(df: DataFrame, path: str) -> None:
