@@ -7,7 +7,8 @@ import sys
 from collections.abc import Callable
 from datetime import datetime
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -146,8 +147,22 @@ def _on_lines(ask: Callable[[FillAnalytics], DataFrame]) -> Query:
     return lambda spark, sf_dir: ask(_line_metrics(spark, sf_dir))
 
 
+def _known_to_workers(query: Query) -> Query:
+    """Python workers started from another folder look for the package here; a cluster has it installed or shipped."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+        if ROOT not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return _core_queries() | (llm.queries() if llm else {})
+    optional = llm.queries() if llm else {}
+    return _core_queries() | {name: _known_to_workers(query) for name, query in optional.items()}
 
 
 def _core_queries() -> dict[str, Query]:
