@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,21 @@ def chance(key: Column, salt: str) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1_000_000)) / F.lit(1_000_000.0)
 
 
+_KEPT: dict[str, tuple[object, object]] = {}
+
+
+def kept_in_worker(kind: str, source: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept for the next task of this worker as long as it is asked for with the same object or text.
+
+    A broadcast value is one object for all tasks of a worker.
+    """
+    before = _KEPT.get(kind)
+    same = before is not None and (before[0] is source or isinstance(source, str) and before[0] == source)
+    if not same:
+        _KEPT[kind] = (source, make())
+    return _KEPT[kind][1]
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``label`` for every node of the links (``a``, ``b``): the smallest node reachable.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import chance
+from fillmetrics.llm.common import chance, kept_in_worker
 
 ORDERS = (5, 4, 3, 2, 1)
 DISCOUNT = math.log(0.4)
@@ -143,7 +143,8 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        votes = Votes(shared.value)
+        model = shared.value
+        votes = kept_in_worker("language", model, lambda: Votes(model))
         for batch in batches:
             found = [votes.predict(text) for text in batch.column(place).to_pylist()]
             columns = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]

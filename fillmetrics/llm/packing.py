@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -26,53 +27,92 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import checkpointed
+from fillmetrics.llm.common import checkpointed, kept_in_worker
 
 CAPACITY = 2048
 CLOSING_ID = 0
 SHARD_PIECES = 4096
 EFFORT = 4000
-MOST_CACHED = 400_000
+MOST_CACHED = 250_000
 TRAILING = ".,;:!?|#$%&*"
 
 
-class WordIds(dict):
-    """Token ids, as little-endian 32-bit bytes, of the pieces of a text between spaces.
+class WordIds:
+    """Token ids, as little-endian 32-bit bytes, of texts, put together from remembered words.
 
     The tokenizer never joins text across white space, and a run of punctuation is cut off from letters before it, so
-    ids of words and of trailing punctuation follow each other as they do in the whole text.
+    ids of words and of trailing punctuation follow each other as they do in the whole text. A word of letters alone is a
+    single unit for the tokenizer and needs none of its normalising and splitting; anything unusual is given to it as it is.
+    Words are remembered in two generations: when the younger is full it becomes the older, so that frequent ones stay.
     """
 
-    def __init__(self, path: str | None):
+    def __init__(self, path: str | None, most: int = MOST_CACHED):
         import public_tokenizers
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
-        self[""] = b""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
+        self.letters = Tokenizer(self.whole.model)
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        vocabulary = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+        self.most = most
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(TRAILING)
-        if core and len(core) < len(word) and core[-1].isalpha() and core.isascii():
-            found = self[core] + self[word[len(core) :]]
-        elif word.isascii() and not word.islower() and word.lower() != word:
-            found = self[word.lower()]
-        else:
-            found = self.direct(word)
-        self[word] = found
-        return found
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _units(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are single units."""
+        ids = np.array(self.letters.encode(words, is_pretokenized=True, add_special_tokens=False).ids, dtype="<u4")
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        data = ids.tobytes()
+        return [data[start:end] for start, end in zip([0, *ends], ends)]
+
+    def _learn(self, words: list[str]) -> None:
+        young, old = self.young, self.old
+        plain, composed = [], []
+        for word in dict.fromkeys(words):
+            found = old.get(word)
+            if found is not None:
+                young[word] = found
+            elif word.islower() and word.isalpha() and (word.isascii() or is_normalized("NFC", word)):
+                plain.append(word)
+            else:
+                composed.append(word)
+        parts = []
+        for word in composed:
+            core = word.rstrip(TRAILING)
+            if not core.isalpha():
+                core = word
+            unit = core.lower() if core.isascii() else "".join(map(str.lower, core)) if is_normalized("NFC", core) else ""
+            if not unit.isalpha():
+                young[word] = self.direct(word)
+                continue
+            tail = word[len(core) :]
+            if tail and tail not in young:
+                young[tail] = self.direct(tail)
+            parts.append((word, unit, tail))
+        plain += {unit: None for _, unit, _ in parts if unit not in young}
+        if plain:
+            young.update(zip(plain, self._units(plain)))
+        for word, unit, tail in parts:
+            young[word] = young[unit] + young[tail]
 
     def of(self, text: str | None) -> bytes:
         if not text:
             return b""
         if "<|" in text:
             return self.direct(text)
-        if len(self) > MOST_CACHED:
-            self.clear()
-            self[""] = b""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        if len(self.young) > self.most:
+            self.young, self.old = {"": b""}, self.young
+        words = text.replace("\n", " ").split(" ")
+        young = self.young
+        unknown = [word for word in words if word not in young]
+        if unknown:
+            self._learn(unknown)
+        return b"".join(map(young.__getitem__, words))
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
@@ -82,7 +122,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
+        words = kept_in_worker("packing", tokenizer, lambda: WordIds(tokenizer))
         closing = CLOSING_ID.to_bytes(4, "little")
         for batch in batches:
             row, piece, length, crc = [], [], [], []
