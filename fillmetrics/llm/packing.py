@@ -14,6 +14,7 @@ A null text is an empty one: a single piece that holds the closing id. Repeated
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -47,12 +48,17 @@ class WordIds:
     """
 
     def __init__(self, path: str | None, most: int = MOST_CACHED):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker for each core already
         import public_tokenizers
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.letters = Tokenizer(self.whole.model)
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.ascii = Tokenizer(self.whole.model)
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
@@ -63,12 +69,18 @@ class WordIds:
     def direct(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _units(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are single units."""
-        ids = np.array(self.letters.encode(words, is_pretokenized=True, add_special_tokens=False).ids, dtype="<u4")
-        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        data = ids.tobytes()
-        return [data[start:end] for start, end in zip([0, *ends], ends)]
+    def _units(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words that are single units, with their ids."""
+        ascii_words = [word for word in words if word.isascii()]
+        others = [word for word in words if not word.isascii()]
+        for tokenizer, group in ((self.ascii, ascii_words), (self.letters, others)):
+            if group:
+                # One text of many words, without offsets, is the cheapest to encode.
+                found = tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)
+                ids = np.array(found[0].ids, dtype="<u4")
+                ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+                data = ids.tobytes()
+                yield from zip(group, [data[start:end] for start, end in zip([0, *ends], ends)])
 
     def _learn(self, words: list[str]) -> None:
         young, old = self.young, self.old
@@ -96,7 +108,7 @@ class WordIds:
             parts.append((word, unit, tail))
         plain += {unit: None for _, unit, _ in parts if unit not in young}
         if plain:
-            young.update(zip(plain, self._units(plain)))
+            young.update(self._units(plain))
         for word, unit, tail in parts:
             young[word] = young[unit] + young[tail]
 
