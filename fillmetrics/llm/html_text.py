@@ -1,18 +1,20 @@
 """Main text of web pages by site style trees.
 
-The pages of a host are merged: elements with the same path of styles (tag and class from the root down) are one style node. Over
-the ``m`` pages that have a node, a content feature (the text of an element there) held by ``c`` pages has entropy log_m c, and
+The pages of a host are merged: elements with the same path of styles (tag and class from the root down) are one style node. Pages
+of a host with the same text (all of it but declared menus and the like) count as one page. Over the ``m`` pages that have a node, a content feature (the text of an element there) held by ``c`` pages has entropy log_m c, and
 the node's content importance is one minus the mean entropy: what repeats on every page is worth nothing. Its presentation
 importance is the entropy of the sequences of children it has on different pages. Both are weighed into one importance;
-branches of low importance are removed from each page. Elements that declare what they are count by that first: menus,
-footers, adverts and the like have importance zero, what is inside an article or main element at least one half, and what is
-outside of it, on a page that has one, zero. A node on fewer than ``LEAST_PAGES`` pages of its host is kept for want of evidence.
+branches whose score is below ``THRESHOLD`` are removed from each page. The score is the importance, weighed by what elements
+declare: zero for menus, footers, adverts and the like; raised by ``MAIN_RAISE`` inside an article or main element; times
+``OUTSIDE_WEIGHT`` outside of it, on a page where one has text. The outermost article or main never falls with a branch above it,
+nor does one inside it but by its own score, and where nothing in them would be left all their text stays. A node on fewer than
+``LEAST_PAGES`` pages of its host has importance one half for want of evidence.
 
 Blocks of the remaining text are joined by an empty line, white space in a block is one space, character references are decoded.
 A null or empty page has the empty text. Broken markup is read as far as it goes. A null url is a host of its own.
 
-Only hashes are gathered by host, each combined before the shuffle; a page's text never leaves its row. The removed nodes of a host go
-back to its pages by a join whose small side is broadcast if counted to be small. Repeated rows count as pages each.
+Only hashes are gathered by host, each combined before the shuffle; a page's text never leaves its row. The decided nodes of a host go
+back to its pages by a join whose small side is broadcast if counted to be small. Repeated rows have a text each.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from fillmetrics.llm.common import checkpointed
 LEAST_PAGES = 5
 THRESHOLD = 0.3
 PRESENTATION_WEIGHT = 0.1
+MAIN_RAISE = 0.1
+OUTSIDE_WEIGHT = 0.5
 MOST_BROADCAST = 100_000
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
@@ -58,10 +62,11 @@ MAIN_TAGS = frozenset(("article", "main"))
 
 
 class Element:
-    __slots__ = ("tag", "key", "dropped", "main", "children", "texts")
+    __slots__ = ("tag", "key", "dropped", "main", "faded", "children", "texts")
 
-    def __init__(self, tag: str, key: int, dropped: bool, main: bool):
-        self.tag, self.key, self.dropped, self.main = tag, key, dropped, main
+    def __init__(self, tag: str, key: int, dropped: bool, main: bool, faded: bool):
+        # Dropped by what it declares, faded by the tree.
+        self.tag, self.key, self.dropped, self.main, self.faded = tag, key, dropped, main, faded
         self.children: list[str] = []
         self.texts: list[str] = []
 
@@ -76,17 +81,27 @@ def _key(text: str) -> int:
 class Page:
     """One walk over a page: blocks with the style nodes above them, and the features of every element."""
 
-    def __init__(self, html: str, removed: frozenset[int] = frozenset()):
+    def __init__(self, html: str, removed: frozenset[int] = frozenset(), telling: frozenset[int] = frozenset()):
         self.removed = removed
-        self.blocks: list[tuple[bool, str]] = []  # inside main, text
-        self.features: set[tuple[int, int, int]] = set()  # node, content, children
-        self.has_main = False
+        self.telling = telling  # nodes outside main that stay beside one
+        self.blocks: list[tuple[Element, str]] = []  # the element a text is in, text
+        self.features: set[tuple[int, bool, int, int]] = set()  # node, inside main, content, children
         self.parts: list[str] = []
-        self.stack = [Element("", 0, False, False)]
+        self.stack = [Element("", 0, False, False, False)]
         self._walk(html)
 
     def text(self) -> str:
-        return "\n\n".join(text for main, text in self.blocks if main or not self.has_main)
+        inside = [top for top, _ in self.blocks if top.main]
+        spared = all(top.faded for top in inside)
+        return "\n\n".join(
+            text
+            for top, text in self.blocks
+            if (spared or not top.faded if top.main else not top.faded and (not inside or top.key in self.telling))
+        )
+
+    def whole(self) -> int:
+        """The hash of all text but that of declared boilerplate."""
+        return _key("\n".join(text for _, text in self.blocks))
 
     def _flush(self) -> None:
         if self.parts:
@@ -94,7 +109,7 @@ class Page:
             self.parts = []
             if text:
                 top = self.stack[-1]
-                self.blocks.append((top.main, text))
+                self.blocks.append((top, text))
                 top.texts.append(text)
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -109,17 +124,21 @@ class Page:
         key = _key(f"{above.key}/{style}")
         declared = tag in MAIN_TAGS or "main" in words
         boilerplate = tag in BOILERPLATE_TAGS or (tag == "header" and not above.main) or not BOILERPLATE_WORDS.isdisjoint(words)
-        main = above.main or (declared and not above.dropped)
-        self.has_main |= main
-        dropped = above.dropped or (boilerplate and not (declared and not words)) or (key in self.removed and not main)
-        self.stack.append(Element(tag, key, dropped, main))
+        dropped = above.dropped or (boilerplate and not (declared and not words))
+        main = above.main or (declared and not dropped)
+        faded = key in self.removed
+        if not (declared and main):
+            faded |= above.faded
+        elif not above.main:
+            faded = False
+        self.stack.append(Element(tag, key, dropped, main, faded))
 
     def _close(self) -> None:
         element = self.stack.pop()
         if not element.dropped:
             # Blocks within count as a part of the elements around them by their hash alone.
             whole = _key("\n".join(element.texts))
-            self.features.add((element.key, whole, _key(" ".join(element.children))))
+            self.features.add((element.key, element.main, whole, _key(" ".join(element.children))))
             if element.texts:
                 self.stack[-1].texts.append(str(whole))
 
@@ -174,30 +193,35 @@ def _host(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def removed_nodes(
-    pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD, weight: float = PRESENTATION_WEIGHT
-) -> DataFrame:
-    """``host``, ``node`` of the style nodes whose importance is below the threshold."""
+def importances(pages: DataFrame, least_pages: int = LEAST_PAGES, weight: float = PRESENTATION_WEIGHT) -> DataFrame:
+    """``host``, ``node``, ``inside`` (an article or main), ``importance`` of the style nodes on ``least_pages`` pages or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, nodes, contents, children = [], [], [], []
+            rows, texts, found = [], [], []
             for k, html in enumerate(batch.column(1).to_pylist()):
-                for node, content, style in sorted(Page(html).features) if html else ():
-                    rows.append(k)
-                    nodes.append(node)
-                    contents.append(content)
-                    children.append(style)
-            numbers = [pa.array(values, pa.int64()) for values in (nodes, contents, children)]
+                if html:
+                    page = Page(html)
+                    features = sorted(page.features)
+                    rows += [k] * len(features)
+                    texts += [page.whole()] * len(features)
+                    found += features
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64())
+            columns = [pa.array([feature[k] for feature in found], kind) for k, kind in enumerate(kinds)]
             hosts = batch.column(0).take(pa.array(rows, pa.int32()))
-            yield pa.RecordBatch.from_arrays([hosts, *numbers], names=["host", "node", "content", "children"])
-
-    found = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(
-        run, "host string, node long, content long, children long"
+            names = ["host", "page", "node", "inside", "content", "children"]
+            yield pa.RecordBatch.from_arrays([hosts, pa.array(texts, pa.int64()), *columns], names=names)
+
+    # Pages of one text are one page, whatever their number.
+    found = (
+        pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string"))
+        .mapInArrow(run, "host string, page long, node long, inside boolean, content long, children long")
+        .groupBy("host", "page", "node", "inside", "content")
+        .agg(F.min("children").alias("children"))
     )
-    held = checkpointed(found.groupBy("host", "node", "content", "children").agg(F.count(F.lit(1)).alias("c")))
-    content = held.groupBy("host", "node", "content").agg(F.sum("c").alias("c"))
-    contents = content.groupBy("host", "node").agg(
+    held = checkpointed(found.groupBy("host", "node", "inside", "content", "children").agg(F.count(F.lit(1)).alias("c")))
+    content = held.groupBy("host", "node", "inside", "content").agg(F.sum("c").alias("c"))
+    contents = content.groupBy("host", "node", "inside").agg(
         F.sum("c").alias("m"), F.count(F.lit(1)).alias("features"), F.sum(F.log("c")).alias("logs")
     )
     style = held.groupBy("host", "node", "children").agg(F.sum("c").alias("c"))
@@ -209,22 +233,41 @@ def removed_nodes(
     of_styles = (F.log("n") - F.col("weighted") / F.col("n")) / F.log("n")
     both = contents.where(many).join(styles, ["host", "node"])
     importance = F.when(F.col("styles") > 1, weight * of_styles + (1 - weight) * of_content).otherwise(of_content)
-    return both.where(importance < threshold).select("host", "node")
+    return both.select("host", "node", "inside", importance.alias("importance"))
+
+
+def decided_nodes(
+    pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD, weight: float = PRESENTATION_WEIGHT
+) -> DataFrame:
+    """``host``, ``node``, ``removed`` of the nodes that go, and of those outside an article or main that stay beside one."""
+    removed = F.col("importance") + F.when(F.col("inside"), F.lit(MAIN_RAISE)).otherwise(F.lit(0.0)) < threshold
+    telling = ~F.col("inside") & (F.col("importance") * OUTSIDE_WEIGHT >= threshold)
+    return importances(pages, least_pages, weight).where(removed | telling).select("host", "node", removed.alias("removed"))
+
+
+def removed_nodes(
+    pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD, weight: float = PRESENTATION_WEIGHT
+) -> DataFrame:
+    """``host``, ``node`` of the style nodes whose score is below the threshold."""
+    return decided_nodes(pages, least_pages, threshold, weight).where("removed").select("host", "node")
 
 
 def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
     """``page_id``, ``url``, ``text`` of every page."""
-    removed = checkpointed(
-        removed_nodes(pages, least_pages, threshold).groupBy("host").agg(F.collect_list("node").alias("removed"))
-    ).withColumnRenamed("host", "its_host")
-    if removed.count() <= MOST_BROADCAST:
-        removed = F.broadcast(removed)
+    of_kind = lambda kind: F.collect_list(F.when(kind, F.col("node")))
+    decided = checkpointed(
+        decided_nodes(pages, least_pages, threshold)
+        .groupBy(F.col("host").alias("its_host"))
+        .agg(of_kind(F.col("removed")).alias("removed"), of_kind(~F.col("removed")).alias("telling"))
+    )
+    if decided.count() <= MOST_BROADCAST:
+        decided = F.broadcast(decided)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                Page(html, frozenset(nodes or ())).text() if html else ""
-                for html, nodes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                Page(html, frozenset(removed or ()), frozenset(telling or ())).text() if html else ""
+                for html, removed, telling in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -233,7 +276,7 @@ def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: floa
     kind = pages.schema["page_id"].dataType.simpleString()
     return (
         pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string"))
-        .join(removed, _host(F.col("url")) == F.col("its_host"), "left")
-        .select("page_id", "url", "html", "removed")
+        .join(decided, _host(F.col("url")) == F.col("its_host"), "left")
+        .select("page_id", "url", "html", "removed", "telling")
         .mapInArrow(run, f"page_id {kind}, url string, text string")
     )

@@ -204,6 +204,21 @@ def test_repeated_branches_go_without_declared_elements(spark):
     assert texts[99] == "Great Site\n\nStory 99 number\n\nIts words 99\n\nAll rights"
 
 
+def texts_of(spark, pages):
+    frame = spark.createDataFrame([(k, f"https://a.example/{k}", html) for k, html in enumerate(pages)], "page_id int, url string, html string")
+    return [row.text for row in html_text.main_texts(frame).orderBy("page_id").collect()]
+
+
+def test_copies_keep_their_article(spark):
+    story = "<html><body><div class=wrap><{0}><h1>Story {1}</h1><p>Its words {1}</p></{0}></div></body></html>"
+    for tag, kinds in (("article", 1), ("article", 7), ("div", 3)):
+        pages = [story.format(tag, k % kinds) for k in range(1000)]
+        assert texts_of(spark, pages) == [f"Story {k % kinds}\n\nIts words {k % kinds}" for k in range(1000)]
+    # The same article, while what is around it differs: the branch above it goes, not the article.
+    same = "<body><div class=wrap><article><p>One and the same</p></article></div><p>{0}"
+    assert all("One and the same" in text for text in texts_of(spark, [same.format(k) for k in range(30)]))
+
+
 # -- op6 -------------------------------------------------------------------------------------------------------
 
 
