@@ -219,6 +219,19 @@ def test_copies_keep_their_article(spark):
     assert all("One and the same" in text for text in texts_of(spark, [same.format(k) for k in range(30)]))
 
 
+def test_the_tree_decides_inside_and_outside_of_articles(spark):
+    frame = (
+        "<body><div class=site>Great Site</div><div class=lead>Lead {0}</div><article><p>Words {0}</p>"
+        "<div class=more><p>Read this too</p></div><p>More words {0}</p></article></body>"
+    )
+    texts = texts_of(spark, [frame.format(k) for k in range(20)])
+    assert texts[4] == "Lead 4\n\nWords 4\n\nMore words 4"
+    # Too few pages to know: what is outside of an article goes, what is inside stays.
+    assert texts_of(spark, [frame.format(1)]) == ["Words 1\n\nRead this too\n\nMore words 1"]
+    # A menu that calls itself main is no main part of the page.
+    assert texts_of(spark, ["<div class='main-menu'>Home</div><div>Some words</div>"]) == ["Some words"]
+
+
 # -- op6 -------------------------------------------------------------------------------------------------------
 
 
