@@ -1,7 +1,9 @@
 """Language of a text: log frequencies of known words first, shorter and shorter character n-grams for the others.
 
-Model: word counts by language of a bounded sample of labelled texts (``per_language`` texts of each language, chosen by
-a hash of the id; the ``most_words`` most frequent words). A known word votes with its log frequency in each language.
+Model: counts by language of words, and of the n-grams of all words, of a bounded sample of labelled texts (``per_language`` texts
+of each language, chosen by a hash of the id). Each language has a table of its own: its ``most_words`` most frequent words and
+its ``most_grams`` most frequent n-grams, or an equal share of what ``FULL_TABLES`` languages would hold where there are more. Equals
+at the end of a table are chosen by a hash. A known word votes with its log frequency in each language.
 For an unknown word the longest n-grams of which any is known vote with their mean, discounted once per step down.
 
 Null texts and texts without a letter are ``und`` with score 0; so is everything if no labelled text was there to learn from.
@@ -13,72 +15,108 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from array import array
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import chance, kept_in_worker
+from fillmetrics.llm.common import chance, checkpointed, kept_in_worker
 
 ORDERS = (5, 4, 3, 2, 1)
 DISCOUNT = math.log(0.4)
 SMOOTHING = 0.1
 EVIDENCE = 12
 MOST_CACHED = 400_000
+FULL_TABLES = 20
+MOST_SUMMED = 200_000
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
 
+class Table:
+    """Log frequencies by key, for the languages that have the key; in all others it has the same least frequency.
+
+    The least frequency is the same for every language, so that one with little text is not likelier for what it never had.
+    """
+
+    def __init__(self, counts: Iterable[tuple[str, int, int]], totals: list[int]):
+        """``counts``: key, place of the language, count, in the order of the keys."""
+        least = SMOOTHING / max(totals)
+        self.floor = math.log(least)
+        self.rows: dict[str, int] = {}
+        self.starts, self.places, self.gains = array("q"), array("h"), array("f")
+        for key, place, count in counts:
+            if key not in self.rows:
+                self.rows[key] = len(self.rows)
+                self.starts.append(len(self.places))
+            self.places.append(place)
+            self.gains.append(math.log(count / totals[place] + least) - self.floor)
+        self.starts.append(len(self.places))
+
+    def mean(self, rows: list[int], languages: int) -> list[float]:
+        votes = [self.floor] * languages
+        for row in rows:
+            for k in range(self.starts[row], self.starts[row + 1]):
+                votes[self.places[k]] += self.gains[k] / len(rows)
+        return votes
+
+
 @dataclass
 class Model:
-    """Per language counts: words, and n-grams of the padded words by order."""
+    """Tables of the languages: words (order 0), and n-grams of the padded words by order."""
 
     languages: list[str]
-    words: dict[str, list[float]]
-    grams: dict[int, dict[str, list[float]]] = field(default_factory=dict)
+    tables: dict[int, Table]
 
     @classmethod
     def of(cls, counts: list[tuple[str, str, int]]) -> Model:
-        languages = sorted({language for language, _, _ in counts})
-        place = {language: k for k, language in enumerate(languages)}
-        words: dict[str, list[float]] = defaultdict(lambda: [0] * len(languages))
-        grams: dict[int, dict[str, list[float]]] = {n: defaultdict(lambda: [0] * len(languages)) for n in ORDERS}
+        """From counts of words by language, all of which are kept."""
+        pieces: Counter = Counter()
         for language, word, count in counts:
-            words[word][place[language]] += count
+            pieces[language, 0, word] += count
             padded = f" {word} "
             for n in ORDERS:
                 for start in range(len(padded) - n + 1):
-                    grams[n][padded[start : start + n]][place[language]] += count
-        return cls(languages, _logs(words), {n: _logs(table) for n, table in grams.items()})
+                    pieces[language, n, padded[start : start + n]] += count
+        totals: Counter = Counter()
+        for (language, n, _), count in pieces.items():
+            totals[language, n] += count
+        return cls.of_pieces(sorted((n, key, language, count) for (language, n, key), count in pieces.items()), totals)
+
+    @classmethod
+    def of_pieces(cls, pieces: list[tuple[int, str, str, int]], totals: dict[tuple[str, int], int]) -> Model:
+        """From sorted counts of order, key and language, and the counts of all keys by language and order."""
+        languages = sorted({language for language, _ in totals})
+        place = {language: k for k, language in enumerate(languages)}
+        return cls(
+            languages,
+            {
+                n: Table(
+                    ((key, place[language], count) for order, key, language, count in pieces if order == n),
+                    [max(1, totals.get((language, n), 0)) for language in languages],
+                )
+                for n in ((0, *ORDERS) if languages else ())
+            },
+        )
 
     def vote(self, word: str) -> list[float]:
         """Log score of a word in each language."""
-        if word in self.words:
-            return self.words[word]
+        row = self.tables[0].rows.get(word) if self.tables else None
+        if row is not None:
+            return self.tables[0].mean([row], len(self.languages))
         padded = f" {word} "
-        for down, n in enumerate(ORDERS, 1):
-            known = [
-                self.grams[n][gram]
-                for gram in (padded[k : k + n] for k in range(len(padded) - n + 1))
-                if gram in self.grams[n]
-            ]
+        for down, n in enumerate(ORDERS if self.tables else (), 1):
+            get = self.tables[n].rows.get
+            known = [row for row in (get(padded[k : k + n]) for k in range(len(padded) - n + 1)) if row is not None]
             if known:
-                return [down * DISCOUNT + sum(column) / len(known) for column in zip(*known)]
+                return [down * DISCOUNT + mean for mean in self.tables[n].mean(known, len(self.languages))]
         return [0.0] * len(self.languages)
 
 
-def _logs(table: dict[str, list[float]]) -> dict[str, list[float]]:
-    if not table:
-        return {}
-    totals = [sum(column) + SMOOTHING * len(table) for column in zip(*table.values())]
-    return {
-        key: [math.log((count + SMOOTHING) / total) for count, total in zip(row, totals)] for key, row in table.items()
-    }
-
-
 class Votes(dict):
     """Word -> row of a growing matrix of votes; forgotten as a whole when it holds ``MOST_CACHED`` words."""
 
@@ -113,27 +151,88 @@ class Votes(dict):
         return self.model.languages[best], float(odds[best] / odds.sum())
 
 
+def _by_language(column: Column, values: dict) -> Column:
+    return F.element_at(F.create_map(*[F.lit(part) for item in values.items() for part in item]), column)
+
+
+def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """About ``most`` rows of each language (``language``, ``key``, ``count``), those of the highest counts."""
+    # A row for each language and different count.
+    levels = counted.groupBy("language", "count").agg(F.count(F.lit(1)).alias("held")).orderBy("language", F.desc("count")).collect()
+    taken: Counter = Counter()
+    last, share = {}, {}
+    for language, count, held in levels:
+        if taken[language] < most:
+            last[language], share[language] = count, min(1.0, (most - taken[language]) / held)
+            taken[language] += held
+    if not last:
+        return counted
+    level = _by_language(F.col("language"), last)
+    by_chance = chance(F.col("key"), "language table") < _by_language(F.col("language"), share)
+    return counted.where((F.col("count") > level) | ((F.col("count") == level) & by_chance))
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Language, n-gram and count from language, word and count; added up as far as they fit."""
+    names = ["language", "key", "count"]
+    kinds = (pa.string(), pa.string(), pa.int64())
+    sums: Counter = Counter()
+
+    def given() -> pa.RecordBatch:
+        columns = list(zip(*((language, gram, n) for (language, gram), n in sums.items()))) or [(), (), ()]
+        sums.clear()
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds)], names=names)
+
+    for batch in batches:
+        for language, word, count in zip(*(column.to_pylist() for column in batch.columns)):
+            padded = f" {word} "
+            for n in ORDERS:
+                for start in range(len(padded) - n + 1):
+                    sums[language, padded[start : start + n]] += count
+                    if len(sums) >= MOST_SUMMED:
+                        yield given()
+    yield given()
+
+
 def fit(
-    docs: DataFrame, learn: Column, label: str = "lang", per_language: int = 1500, most_words: int = 60_000
+    docs: DataFrame,
+    learn: Column,
+    label: str = "lang",
+    per_language: int = 1500,
+    most_words: int = 60_000,
+    most_grams: int = 200_000,
 ) -> Model:
     """A model from the rows for which ``learn`` holds; reads only ``doc_id``, ``text`` and ``label``."""
     known = docs.where(learn & F.col(label).isNotNull() & F.col("text").isNotNull())
     held = {row[0]: row[1] for row in known.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not held:
         return Model([], {})
-    share = F.element_at(
-        F.create_map(*[F.lit(part) for key, n in held.items() for part in (key, min(1.0, per_language / n))]), F.col(label)
-    )
-    counts = (
+    share = _by_language(F.col(label), {key: min(1.0, per_language / n) for key, n in held.items()})
+    words = checkpointed(
         known.where(chance(F.col("doc_id"), "language sample") < share)
-        .select(F.col(label).alias("language"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
-        .where(F.col("word") != "")
-        .groupBy("language", "word")
+        .select(F.col(label).cast("string").alias("language"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("key"))
+        .where(F.col("key") != "")
+        .groupBy("language", "key")
         .count()
-        .orderBy(F.desc("count"), "language", "word")
-        .limit(most_words)
     )
-    return Model.of([tuple(row) for row in counts.collect()])
+    grams = checkpointed(
+        words.select("language", "key", "count")
+        .mapInArrow(_grams, "language string, key string, count long")
+        .groupBy("language", "key")
+        .agg(F.sum("count").alias("count"))
+    )
+    order = F.length("key")
+    totals = {
+        (row[0], row[1]): row[2]
+        for part in (words.withColumn("n", F.lit(0)), grams.withColumn("n", order))
+        for row in part.groupBy("language", "n").agg(F.sum("count")).collect()
+    }
+    crowd = max(1.0, len(held) / FULL_TABLES)
+    kept = _most_frequent(words, int(most_words / crowd)).select(F.lit(0).alias("n"), "key", "language", "count").unionByName(
+        _most_frequent(grams, int(most_grams / crowd)).select(order.alias("n"), "key", "language", "count")
+    )
+    table = kept.toArrow().sort_by([("n", "ascending"), ("key", "ascending")])
+    return Model.of_pieces(list(zip(*(table.column(name).to_pylist() for name in table.column_names))), totals)
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:

@@ -350,6 +350,17 @@ def test_backoff_gets_shorter():
     assert language_id.Votes(model).predict("1 2 _ !") == ("und", 0.0)
 
 
+def test_every_language_has_a_table_of_its_own(spark):
+    rows = [(k, "en", " ".join(f"{a}{b}ing" for a in "bcdfghklm" for b in "aeiou") + " the of and") for k in range(300)]
+    rows += [(1000 + k, "fi", f"yö{'aeiouyäö'[k]}lintu") for k in range(8)]
+    rows += [(2000 + k, "zh", "我們今天去學校" + "學習語文數理化"[k:] + "明天再見") for k in range(7)]
+    docs = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    model = language_id.fit(docs, F.lit(True), most_words=20, most_grams=200)
+    votes = language_id.Votes(model)
+    assert model.languages == ["en", "fi", "zh"]
+    assert [votes.predict(text)[0] for text in ("baing and", "yölintuja", "今天我們再見", "學校")] == ["en", "fi", "zh", "zh"]
+
+
 # -- op9 -------------------------------------------------------------------------------------------------------
 
 
