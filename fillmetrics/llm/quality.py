@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised (A-Z lower-cased, white space one space) and hashed; each document counts a line once. Per host, the
-documents that hold a line are counted over the whole corpus; a line in more than ``share`` of the host's documents, and in more
-than ``least`` of them, is boilerplate and is removed. A document is rejected if it fails the base rules (fewer than 20
+documents that hold a line are counted over the whole corpus; a line in more than ``least`` of the host's documents, whatever their
+number, is boilerplate and is removed, and in a small host one in more than ``few`` and more than ``share`` of them. A document is rejected if it fails the base rules (fewer than 20
 words, or over 30 % of them in repeated 8-word windows), or if removal leaves fewer than ``left_words`` words or less than
 ``left_share`` of its words.
 
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from fillmetrics.llm.common import checkpointed
 
-LEAST, SHARE = 20, 0.02
+LEAST = 20
+FEW, SHARE = 4, 0.5
 LEFT_WORDS, LEFT_SHARE = 20, 0.3
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED_PERCENT = 20, 30
@@ -101,18 +102,18 @@ def _measured(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
 
 
-def frequent_lines(measured: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
-    """``host``, ``line`` in more than ``least`` documents and more than ``share`` of the documents of the host."""
+def frequent_lines(measured: DataFrame, least: int = LEAST, few: int = FEW, share: float = SHARE) -> DataFrame:
+    """``host``, ``line`` in more than ``least`` documents of the host, or in more than ``few`` and more than ``share`` of them."""
     hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     counted = (
         measured.select("host", F.explode("lines").alias("line"))
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("holders"))
-        .where(F.col("holders") > least)
+        .where(F.col("holders") > min(least, few))
         .withColumnRenamed("host", "its_host")
     )
     return counted.join(hosts, F.col("its_host").eqNullSafe(F.col("host"))).where(
-        F.col("holders") > share * F.col("documents")
+        (F.col("holders") > least) | ((F.col("holders") > few) & (F.col("holders") > share * F.col("documents")))
     ).select("host", "line")
 
 
@@ -120,6 +121,7 @@ def judged(
     docs: DataFrame,
     host: str = "source",
     least: int = LEAST,
+    few: int = FEW,
     share: float = SHARE,
     left_words: int = LEFT_WORDS,
     left_share: float = LEFT_SHARE,
@@ -127,7 +129,7 @@ def judged(
     """Per row: ``doc_id``, the counts, ``removed_words``, ``base_failed``, ``kept``."""
     plain = docs.select("doc_id", F.col(host).cast("string").alias("host"), F.col("text").cast("string"))
     measured = checkpointed(_measured(plain))
-    frequent = checkpointed(frequent_lines(measured, least, share)).select(
+    frequent = checkpointed(frequent_lines(measured, least, few, share)).select(
         F.col("host").alias("its_host"), F.col("line").alias("its_line")
     )
     if frequent.count() <= MOST_BROADCAST:

@@ -263,6 +263,15 @@ def test_frequent_lines_by_host(spark):
     assert out[200].removed_words == out[200].n_words and not out[200].kept
 
 
+def test_frequent_lines_in_large_and_small_hosts(spark):
+    body = " ".join(f"w{{0}}x{k}" for k in range(30))
+    rows = [(k, "large", ("Shared by a few\n" if k < 21 else "Held by twenty\n" if k < 41 else "") + body.format(k)) for k in range(3000)]
+    rows += [(9000 + k, "small", ("On every page\n" if k < 5 else "") + "On some\n" * (k > 3) + body.format(k)) for k in range(8)]
+    out = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id int, source string, text string")).collect()}
+    assert [out[k].removed_words for k in (0, 20, 21, 40, 41)] == [4, 4, 0, 0, 0]
+    assert [out[9000 + k].removed_words for k in (0, 4, 5, 7)] == [3, 3, 0, 0]
+
+
 # -- op7 -------------------------------------------------------------------------------------------------------
 
 PATTERNS = {
