@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fillmetrics.llm import decontamination, html_text, language_id, license_scan, packing, pii, quality, secret_scan, simhash_dedup, toxicity
+from fillmetrics.llm import byte_bpe, collocations, conversation_repair, decontamination, html_text, language_id, license_scan, packing
+from fillmetrics.llm import pii, quality, secret_scan, simhash_dedup, toxicity
 from fillmetrics.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +84,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = byte_bpe.decoded(byte_bpe.encoded(table(spark, sf_dir, "documents")))
+    return tokens.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.Repair(rows).digested()
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -95,9 +112,17 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_simhash_dedup": op9_simhash_dedup,
         "op10_decontamination": op10_decontamination,
+        "op11_collocations": op11_collocations,
+        "op12_byte_bpe": op12_byte_bpe,
+        "op13_conversation_repair": op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan.sql(), "op4_secret_scan": secret_scan.sql(), "op10_decontamination": decontamination.SQL}
+    return {
+        "op1_license_scan": license_scan.sql(),
+        "op4_secret_scan": secret_scan.sql(),
+        "op10_decontamination": decontamination.SQL,
+        "op11_collocations": collocations.SQL,
+    }
