@@ -38,7 +38,8 @@ LEAF_IDS = 65536
 PART_BYTES = 4 << 20
 LOOKS_AHEAD = 2
 NO_RANK = 1 << 62
-MOST_KEPT = 600_000
+MOST_KEPT = 250_000
+SLICE_ROWS = 200
 
 
 def read_ranks(path: str | None) -> dict[bytes, int]:
@@ -244,6 +245,13 @@ class ByteBpe:
         return self.node(text).ids
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that a task holds the results of few texts beside its batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _encoder(vocabulary: str | None, pattern: str | None) -> ByteBpe:
     return kept_in_worker("byte_bpe", f"{vocabulary}\n{pattern}", lambda: ByteBpe(read_ranks(vocabulary), pattern))
 
@@ -261,9 +269,9 @@ def encoded(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _encoder(vocabulary, pattern)
-        for batch in batches:
-            ids = [bpe.encode(text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        for part in _slices(batches):
+            ids = [bpe.encode(text) for text in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,11 +333,11 @@ def decoded(tokens: DataFrame, vocabulary: str | None = None) -> DataFrame:
             half = len(ids) // 2
             return bytes_of(ids[:half]) + bytes_of(ids[half:])
 
-        for batch in batches:
-            rows = batch.column(batch.schema.get_field_index("ids")).to_pylist()
+        for part in _slices(batches):
+            rows = part.column(part.schema.get_field_index("ids")).to_pylist()
             texts = [None if ids is None else bytes_of(np.frombuffer(ids, "<u4")) for ids in rows]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"]
+                [*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"]
             )
 
     kept = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in tokens.schema if field.name != "decoded")
