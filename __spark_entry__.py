@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -16,9 +17,11 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_queries  # noqa: E402
 from fillmetrics import FillAnalytics  # noqa: E402
 from fillmetrics import adapters as ad  # noqa: E402
-from fillmetrics.operators import activity, inventory, marts, normalize, quality  # noqa: E402
+from fillmetrics.operators import activity, cohorts, inventory, journeys, marts, normalize, quality, sketches  # noqa: E402
 from fillmetrics.schema import NODE_FILLS, NODE_FILLS_BY_BLOCK, NODE_TRADES  # noqa: E402
 from fillmetrics.sources.raw import count_lines  # noqa: E402
+from fillmetrics.sources.snapshots import PublishedTable  # noqa: E402
+from fillmetrics.sources.tables import checkpoint_folder  # noqa: E402
 
 try:
     from fillmetrics.llm import registry as llm
@@ -106,16 +109,16 @@ def _all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fills whose number of the trade is damaged where it ends in 7."""
+    """Fills whose number of the trade is damaged where the number of the order ends in 7."""
     raw = ad.raw_fills(_events(spark, sf_dir))
-    damaged = raw.withColumn("value", F.regexp_replace("value", r'"tid":\d*7([,}])', '"tid":"7x"$1'))
+    damaged = raw.withColumn("value", F.regexp_replace("value", r'("oid":\d*7,"tid":)\d+', '$1"7x"'))
     found = normalize.rejected(normalize.convert(damaged, NODE_FILLS))
     return found.groupBy("dataset_source", "date", "defect").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prices that are no numbers, and sizes with more digits than their type, by the last digit of the trade's number."""
-    last = F.col("tid") % 10
+    """Prices that are no numbers, and sizes with more digits than their type, by the last digit of the order's number."""
+    last = F.col("oid") % 10
     spoilt = _normalized(spark, sf_dir).withColumns(
         {
             "px": F.when(last == 3, F.concat("px", F.lit("x"))).otherwise(F.col("px")),
@@ -134,6 +137,122 @@ def _inventory_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.pending_files(_listing(spark, sf_dir), present)
 
 
+# Dates that the queries below write anew, and those that a killed write would have changed.
+REWRITTEN = [date(2024, 1, day) for day in (9, 10, 11)]
+KILLED = [date(2024, 1, day) for day in (20, 21)]
+
+
+def _snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fills per version and date: a reader from before a rewrite, a reader after it, and a write that broke off in between."""
+    fills = ad.fills_from_events(_events(spark, sf_dir))
+    shared = checkpoint_folder(spark, spark.conf.get("spark.sql.warehouse.dir"))
+    table = PublishedTable(spark, f"{shared}/snapshot-{uuid.uuid4().hex}")
+    table.publish(fills.where(F.col("coin") != COINS[0]))
+    early = table.read()
+    table.write(fills.where(F.col("date").isin(KILLED)))
+    table.publish(fills.where(F.col("date").isin(REWRITTEN) & (F.col("date") != REWRITTEN[-1])), days=REWRITTEN)
+    table.write(fills.where(F.col("date").isin(KILLED)))
+    versions = early.withColumn("version", F.lit(1)).unionByName(table.read().withColumn("version", F.lit(2)))
+    return versions.groupBy("version", "date").agg(
+        F.count(F.lit(1)).alias("fills"), F.sum(F.col("sz") * F.col("px")).cast("double").alias("volume")
+    )
+
+
+def _advanced_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journeys after dates were appended in two batches, and one batch of older dates was written anew in between."""
+    now = _event_metrics(spark, sf_dir).user_daily_volume
+    # What the rewritten dates held before: other volumes, and some users that are gone now.
+    odd = F.pmod(F.crc32(F.col("user_address").cast("binary")), F.lit(3)) == 0
+    user = F.when(odd, F.concat(F.lit("gone"), "user_address")).otherwise(F.col("user_address"))
+    then = now.where(F.col("date").isin(REWRITTEN)).withColumns({"daily_volume": F.col("daily_volume") * 7, "user_address": user})
+    middle, last = REWRITTEN[-1], date(2024, 1, 19)
+    start = now.where((F.col("date") <= middle) & ~F.col("date").isin(REWRITTEN)).unionByName(then)
+    state = journeys.journeys(start, BUCKETS)
+    state = journeys.advanced(state, now.where((F.col("date") > middle) & (F.col("date") <= last)), thresholds=BUCKETS)
+    state = journeys.advanced(
+        state, now.where(F.col("date").isin(REWRITTEN)), REWRITTEN, now.where(F.col("date") <= last), BUCKETS
+    )
+    return journeys.advanced(state, now.where(F.col("date") > last), thresholds=BUCKETS)
+
+
+def _advanced_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moves per date after some dates were written anew, of which only these and their neighbours are read."""
+    now = _event_metrics(spark, sf_dir).user_daily_volume
+    amount = F.when(F.col("date").isin(REWRITTEN), F.col("daily_volume") * 7).otherwise(F.col("daily_volume"))
+    before = cohorts.steps(now.withColumn("daily_volume", amount), BUCKETS)
+    return journeys.advanced_steps(before, now, REWRITTEN, BUCKETS)
+
+
+def _sketch_mau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly users, exact and whether the union of daily sketches is close."""
+    metrics = _line_metrics(spark, sf_dir)
+    close = sketches.users_by_month(metrics.user_sketches).select("month", F.col("mau").alias("estimate"))
+    return metrics.get_mau().join(close, "month", "left").select(
+        "month", "mau", sketches.within_bound(F.col("estimate"), F.col("mau")).alias("within")
+    )
+
+
+def _sketch_traders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traders per coin over a range, exact and whether the union of sketches is close."""
+    metrics = _line_metrics(spark, sf_dir)
+    close = sketches.users_by_coin(metrics.user_sketches, "1996-01-01", "1997-12-31")
+    exact = metrics.get_coin_statistics("1996-01-01", "1997-12-31")
+    return exact.join(close.withColumnRenamed("unique_traders", "estimate"), "coin", "left").select(
+        "coin", "unique_traders", sketches.within_bound(F.col("estimate"), F.col("unique_traders")).alias("within")
+    )
+
+
+def _sketch_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of a choice of coins in a range and those not seen before it, exact and whether the sketches are close."""
+    metrics = _line_metrics(spark, sf_dir)
+    coins, start, end = ["Brand#1", "Brand#2"], "1995-01-01", "1995-12-31"
+    close = sketches.users_in_range(metrics.user_sketches, start, end, coins)
+    chosen = metrics.fills.where(F.col("coin").isin(coins) & (F.col("date") <= F.lit(end).cast("date")))
+    per_user = chosen.groupBy("user_address").agg(
+        F.min("date").alias("first"), F.max("date").alias("last")
+    ).where(F.col("last") >= F.lit(start).cast("date"))
+    exact = per_user.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count(F.when(F.col("first") >= F.lit(start).cast("date"), F.lit(1))).alias("new_users"),
+    )
+    estimates = close.select(F.struct("users", "new_users").alias("estimate")).scalar()
+    return exact.withColumn("estimate", estimates).select(
+        "users",
+        "new_users",
+        sketches.within_bound(F.col("estimate.users"), F.col("users")).alias("users_within"),
+        sketches.within_bound(F.col("estimate.new_users"), F.col("new_users"), F.col("users") * 2).alias("new_users_within"),
+    )
+
+
+def _ledger_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of a listing that had been listed once before: which are due, and what the ledger holds afterwards."""
+    files = _listing(spark, sf_dir).select(
+        "dataset",
+        F.col("modified").cast("date").alias("date"),
+        F.col("key").alias("path"),
+        "size",
+        F.col("modified").cast("timestamp").alias("modified"),
+    )
+
+    def as_of(moment: datetime) -> DataFrame:
+        listed_at = F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+        return files.where(F.col("modified") <= listed_at).groupBy("dataset", "date").agg(
+            F.max("modified").alias("folder_time"),
+            F.collect_list(F.struct("path", "size", "modified")).alias("files"),
+        ).withColumn("listed_at", listed_at)
+
+    first, second = as_of(LISTED[0]), as_of(LISTED[1])
+    due = inventory.due_folders(second, first)
+    held = inventory.latest_files(first.unionByName(due)).groupBy("dataset", "date").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")
+    )
+    listed = due.select("dataset", "date", F.lit(True).alias("listed"))
+    return held.join(listed, ["dataset", "date"], "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+
+
+LISTED = (datetime(2024, 1, 6, 12), datetime(2024, 1, 8, 12))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: upgrade and downgrade rates of users by their first volume bucket."""
     return _event_metrics(spark, "/root/testdata/sf0.001").get_bucket_mobility(HORIZONS, BUCKETS)
@@ -179,6 +298,7 @@ def _core_queries() -> dict[str, Query]:
         "pending_dates": _pending,
         "normalize_status": _status,
         "normalize_stats": lambda spark, sf_dir: normalize.run_statistics(_status(spark, sf_dir)),
+        "snapshot_versions": _snapshot_versions,
         "typed_fills": lambda spark, sf_dir: _doubled(
             ad.fills_from_events(_events(spark, sf_dir)), "px", "sz", "closed_pnl", "fee"
         ),
@@ -229,6 +349,12 @@ def _core_queries() -> dict[str, Query]:
         "bucket_retention": _on_events(lambda m: m.get_bucket_retention(BUCKETS)),
         "bucket_mobility": _on_events(lambda m: m.get_bucket_mobility(HORIZONS, BUCKETS)),
         "mobility_long": _on_events(lambda m: m.get_mobility_long(HORIZONS, BUCKETS)),
+        "journeys_advanced": _advanced_journeys,
+        "steps_advanced": _advanced_steps,
+        # distinct users by sketches
+        "sketch_mau": _sketch_mau,
+        "sketch_traders": _sketch_traders,
+        "sketch_range": _sketch_range,
         # users, assets, summaries
         "top_users": _on_lines(lambda m: m.get_top_users_by_volume()),
         "top_users_range": _on_events(lambda m: m.get_top_users_by_volume(20, "2024-01-05", "2024-01-20")),
@@ -253,6 +379,7 @@ def _core_queries() -> dict[str, Query]:
         # file inventory
         "inventory_range": lambda spark, sf_dir: inventory.last_days(_listing(spark, sf_dir), "month", AS_OF),
         "inventory_pending": _inventory_pending,
+        "listing_ledger": _ledger_round,
         "inventory_summary": lambda spark, sf_dir: inventory.summary(_listing(spark, sf_dir)),
         "inventory_total": lambda spark, sf_dir: inventory.total(inventory.summary(_listing(spark, sf_dir))),
         "inventory_cost": lambda spark, sf_dir: inventory.transfer_cost(inventory.summary(_listing(spark, sf_dir))),

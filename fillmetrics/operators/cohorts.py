@@ -83,8 +83,8 @@ def user_mix_average(mix: DataFrame) -> DataFrame:
     return mix.groupBy("volume_bucket").agg(F.avg("share").alias("average_share"))
 
 
-def bucket_transitions(totals: DataFrame, thresholds: Sequence[float] = USER_BUCKETS) -> DataFrame:
-    """Moves between buckets from one day to the next: ``bucket_t, bucket_t1, cnt, pct`` (within ``bucket_t``).
+def steps(totals: DataFrame, thresholds: Sequence[float] = USER_BUCKETS) -> DataFrame:
+    """Moves from one day to the next: ``date`` (the later day), ``rank, next_rank, cnt``.
 
     A user's following day is looked up with ``lead``; one shuffle by user instead of a self join.
     """
@@ -92,13 +92,18 @@ def bucket_transitions(totals: DataFrame, thresholds: Sequence[float] = USER_BUC
     ranked = totals.where(F.col("user_address").isNotNull()).select(
         "user_address", "date", bucket_rank(F.col("daily_volume"), thresholds).alias("rank")
     )
-    steps = ranked.select(
+    moves = ranked.select(
         "rank",
         "date",
         F.lead("rank").over(by_user).alias("next_rank"),
         F.lead("date").over(by_user).alias("next_date"),
     ).where(F.col("next_date") == F.date_add("date", 1))
-    counted = steps.groupBy("rank", "next_rank").agg(F.count(F.lit(1)).alias("cnt"))
+    return moves.groupBy(F.col("next_date").alias("date"), "rank", "next_rank").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def transitions_of_steps(steps: DataFrame, thresholds: Sequence[float] = USER_BUCKETS) -> DataFrame:
+    """Moves between buckets over the days of ``steps``: ``bucket_t, bucket_t1, cnt, pct`` (within ``bucket_t``)."""
+    counted = steps.groupBy("rank", "next_rank").agg(F.sum("cnt").alias("cnt"))
     return counted.select(
         rank_label(F.col("rank"), thresholds).alias("bucket_t"),
         rank_label(F.col("next_rank"), thresholds).alias("bucket_t1"),
@@ -107,28 +112,38 @@ def bucket_transitions(totals: DataFrame, thresholds: Sequence[float] = USER_BUC
     ).orderBy("bucket_t", "bucket_t1")
 
 
+def bucket_transitions(totals: DataFrame, thresholds: Sequence[float] = USER_BUCKETS) -> DataFrame:
+    """Moves between buckets from one day to the next, straight from the totals."""
+    return transitions_of_steps(steps(totals, thresholds), thresholds)
+
+
 def bucket_retention(transitions: DataFrame) -> DataFrame:
     """Users staying in their bucket: the diagonal of the transitions."""
     return transitions.where(F.col("bucket_t") == F.col("bucket_t1")).select("bucket_t", "cnt", "pct")
 
 
-def _journeys(totals: DataFrame, thresholds: Sequence[float]) -> DataFrame:
-    """One row per user: start rank and the days until the first higher and the first lower rank.
+def first_dates(totals: DataFrame, thresholds: Sequence[float] = USER_BUCKETS) -> DataFrame:
+    """One row per user: the first date of each rank, ``d0, d1, ...``.
 
-    Per user only the first date of each rank matters: the earliest of them is the start, and every other rank is
-    first met after it. That is a plain MIN aggregate with a fixed number of dates per user, so it combines before
-    the shuffle and needs neither a sort nor a join.
+    Per user only these matter for mobility: the earliest of them is the start, and every other rank is first met after
+    it. That is a plain MIN aggregate with a fixed number of dates per user, so it combines before the shuffle and
+    needs neither a sort nor a join.
     """
     ranks = range(len(check_thresholds(thresholds)) + 1)
-    first_dates = (
+    return (
         totals.where(F.col("user_address").isNotNull())
         .select("user_address", "date", bucket_rank(F.col("daily_volume"), thresholds).alias("rank"))
         .groupBy("user_address")
         .agg(*[F.min(F.when(F.col("rank") == rank, F.col("date"))).alias(f"d{rank}") for rank in ranks])
     )
+
+
+def _moves(first: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """One row per user: start rank and the days until the first higher and the first lower rank."""
+    ranks = range(len(check_thresholds(thresholds)) + 1)
     start = F.least(*[F.col(f"d{rank}") for rank in ranks])
     start_rank = F.coalesce(*[F.when(F.col(f"d{rank}") == start, F.lit(rank)) for rank in ranks])
-    started = first_dates.select("*", start.alias("start_date"), start_rank.alias("start_rank"))
+    started = first.select("*", start.alias("start_date"), start_rank.alias("start_rank"))
 
     def first_move(wanted) -> F.Column:
         dates = [F.when(wanted(rank), F.col(f"d{rank}")) for rank in ranks]
@@ -146,16 +161,25 @@ def bucket_mobility(
     horizons: Sequence[int] = HORIZONS,
     thresholds: Sequence[float] = USER_BUCKETS,
 ) -> DataFrame:
-    """Share of each start bucket that moves up or down within ``(start, start + horizon]``.
+    """Share of each start bucket that moves up or down within ``(start, start + horizon]``, straight from the totals."""
+    return mobility_of_journeys(first_dates(totals, thresholds), horizons, thresholds)
+
+
+def mobility_of_journeys(
+    journeys: DataFrame,
+    horizons: Sequence[int] = HORIZONS,
+    thresholds: Sequence[float] = USER_BUCKETS,
+) -> DataFrame:
+    """The same from the first date of each rank per user (:func:`first_dates`, or stored journeys).
 
-    Columns ``start_rank, horizon, upgrade_rate, downgrade_rate, cohort_size``. The start is the user's first day in
-    ``totals``; users seen for less than the horizon stay in the cohort.
+    Columns ``start_rank, horizon, upgrade_rate, downgrade_rate, cohort_size``. The start is the user's first day;
+    users seen for less than the horizon stay in the cohort.
     """
     counts = [F.count(F.lit(1)).alias("cohort_size")]
     for place, days in enumerate(horizons):
         counts.append(F.count(F.when(F.col("up_after") <= days, F.lit(1))).alias(f"up{place}"))
         counts.append(F.count(F.when(F.col("down_after") <= days, F.lit(1))).alias(f"down{place}"))
-    cohorts = _journeys(totals, thresholds).groupBy("start_rank").agg(*counts)
+    cohorts = _moves(journeys, thresholds).groupBy("start_rank").agg(*counts)
     size = F.nullif(F.col("cohort_size"), F.lit(0))
     rows = F.array(
         *[

@@ -100,3 +100,31 @@ def transfer_cost(
         (F.col("total_gb") * F.lit(per_gb)).alias("transfer_cost"),
     )
     return priced.withColumn("total_cost", F.col("list_cost") + F.col("get_cost") + F.col("transfer_cost"))
+
+
+# A folder of a date may grow until so many days after the date is over.
+SETTLE_DAYS = 2
+
+
+def due_folders(folders: DataFrame, ledger: DataFrame, settle_days: int = SETTLE_DAYS) -> DataFrame:
+    """The ``folders`` (``dataset, date, ..., folder_time``) that have to be listed again.
+
+    A folder is closed once it was listed ``settle_days`` after the end of its date, and as long as its own time of change
+    (null in stores that keep none) is the one noted then.
+    """
+    settled = F.date_add("date", 1 + settle_days).cast("timestamp")
+    closed = ledger.where(F.col("listed_at") >= settled).select(
+        F.col("dataset").alias("known"), F.col("date").alias("known_date"), F.col("folder_time").alias("known_time")
+    )
+    same = (
+        (F.col("dataset") == F.col("known"))
+        & (F.col("date") == F.col("known_date"))
+        & F.col("folder_time").eqNullSafe(F.col("known_time"))
+    )
+    return folders.join(closed, same, "left_anti")
+
+
+def latest_files(ledger: DataFrame) -> DataFrame:
+    """``dataset, date, path, size, modified``: the files of each folder as of its last listing."""
+    last = ledger.groupBy("dataset", "date").agg(F.max_by("files", "listed_at").alias("files"))
+    return last.select("dataset", "date", F.inline("files"))

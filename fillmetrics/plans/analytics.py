@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from fillmetrics.functions.buckets import CUMULATIVE, DAILY_BUCKETS, HORIZONS, USER_BUCKETS
 from fillmetrics.functions.filters import as_list, in_dates
 from fillmetrics.functions.values import to_double
-from fillmetrics.operators import activity, assets, cohorts, marts, reports
+from fillmetrics.operators import activity, assets, cohorts, marts, reports, sketches
 from fillmetrics.plans import marts as stored
 from fillmetrics.schema import NUMERIC
-from fillmetrics.sources.tables import scan_table
 
 Coins = str | Iterable[str] | None
 
@@ -22,7 +21,9 @@ Coins = str | Iterable[str] | None
 class FillAnalytics:
     """Metrics over a normalised fills table and its marts. Results are lazy DataFrames.
 
-    ``from_fills`` works on a DataFrame of fills without stored marts; the summaries are then part of each plan.
+    All answers come from the state of the marts that was the last when the object was made, whatever is built meanwhile;
+    ``refresh`` goes on to the state that is the last now. ``from_fills`` works on a DataFrame of fills without stored
+    marts; the summaries are then part of each plan.
     """
 
     def __init__(
@@ -33,13 +34,15 @@ class FillAnalytics:
         rebuild: bool = False,
         numeric: str = NUMERIC,
         sides: Iterable[str] = marts.MARKET_SIDES,
+        with_sketches: bool = False,
     ):
         self.spark = spark
+        self.with_sketches = with_sketches
         self.data_dir = data_dir
         self.mart_dir = mart_dir
         self.numeric = numeric
         self.sides = tuple(sides)
-        self._state = None if rebuild else stored.finished_state(spark, mart_dir)
+        self._state = None if rebuild else stored.read_state(spark, mart_dir)
         if self._state:
             self._state.require(self.sides, numeric)
         else:
@@ -57,17 +60,37 @@ class FillAnalytics:
         made.user_daily_volume = marts.user_daily_volume_from_fills(fills, sides=made.sides)
         made.user_first_trade = marts.user_first_trade(fills)
         made.daily_metrics = marts.daily_metrics_from_activity(made.user_activity, fills)
+        made.user_sketches = sketches.user_sketches(fills)
         return made
 
     def rebuild_database(self) -> None:
         """Build all marts again from the stored fills."""
-        stored.build_marts(self.spark, self.data_dir, self.mart_dir, sides=self.sides, numeric=self.numeric)
-        self._state = stored.finished_state(self.spark, self.mart_dir)
-        for name in stored.TABLES:
+        had = getattr(self, "_state", None)
+        stored.build_marts(
+            self.spark,
+            self.data_dir,
+            self.mart_dir,
+            sides=self.sides,
+            numeric=self.numeric,
+            with_sketches=self.with_sketches or bool(had and had.sketches),
+        )
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Read the marts as they are now."""
+        self._state = stored.read_state(self.spark, self.mart_dir)
+        for name in (*stored.DATED, *stored.WHOLE):
             self.__dict__.pop(name, None)
 
     def _mart(self, name: str) -> DataFrame:
-        return scan_table(self.spark, stored.mart_path(self.mart_dir, name))
+        found = stored.read_dated(self.spark, self.mart_dir, self._state, name)
+        if found is None:
+            none = FillAnalytics.from_fills(stored.empty_fills(self.spark, self.numeric), self.sides)
+            found = getattr(none, name)
+        return found
+
+    def _whole(self, name: str) -> DataFrame:
+        return stored.read_whole(self.spark, self.mart_dir, self._state, name)
 
     @cached_property
     def fills(self) -> DataFrame:
@@ -90,11 +113,25 @@ class FillAnalytics:
 
     @cached_property
     def user_first_trade(self) -> DataFrame:
-        return scan_table(self.spark, self._state.first_trades)
+        return self._whole(stored.FIRST_TRADES)
 
     @cached_property
     def daily_metrics(self) -> DataFrame:
-        return scan_table(self.spark, self._state.metrics)
+        return self._whole(stored.METRICS)
+
+    @cached_property
+    def daily_new_users(self) -> DataFrame:
+        """One row per day with new users."""
+        if self.mart_dir is None:
+            return activity.new_users(self.user_first_trade)
+        return self._whole(stored.NEW_USERS).orderBy("date")
+
+    @cached_property
+    def user_sketches(self) -> DataFrame:
+        """Distinct users as sketches per date, coin and side."""
+        if self.mart_dir is not None and not self._state.sketches:
+            raise ValueError("these marts have no sketches; build them with with_sketches=True")
+        return self._mart(stored.SKETCHES)
 
     def user_totals(self, coins: Coins = None) -> DataFrame:
         """User-day totals: the stored table for all coins, an aggregate for a selection."""
@@ -118,7 +155,8 @@ class FillAnalytics:
         return activity.mau(self.daily_user_volume, month, coins)
 
     def get_daily_new_users(self) -> DataFrame:
-        return activity.new_users(self.user_first_trade)
+        """``date, new_users``; a day without any is absent."""
+        return self.daily_new_users
 
     def get_new_users_with_mean(self, rows: int = 7) -> DataFrame:
         return activity.centred_mean(self.get_daily_new_users(), rows=rows)
@@ -129,6 +167,13 @@ class FillAnalytics:
     def get_new_user_statistics(self) -> DataFrame:
         return activity.new_user_statistics(self.get_daily_new_users())
 
+    def get_users_by_sketch(self, start_date=None, end_date=None, coins: Coins = None, sides=("A", "B")) -> DataFrame:
+        """Estimated ``users`` and ``new_users`` of any range and choice of coins; one row."""
+        return sketches.users_in_range(self.user_sketches, start_date, end_date, coins, sides)
+
+    def get_mau_by_sketch(self, coins: Coins = None) -> DataFrame:
+        return sketches.users_by_month(self.user_sketches, coins, self.sides)
+
     def get_approx_dau(self, start_date=None, end_date=None, rsd: float = 0.05) -> DataFrame:
         return activity.approx_dau(self.user_activity, start_date, end_date, rsd)
 
@@ -158,7 +203,10 @@ class FillAnalytics:
         return cohorts.user_mix_average(self.get_user_mix(buckets))
 
     def get_bucket_transitions(self, buckets: Sequence[float] | None = None) -> DataFrame:
-        return cohorts.bucket_transitions(self.user_totals(), USER_BUCKETS if buckets is None else buckets)
+        limits = USER_BUCKETS if buckets is None else buckets
+        if self._stores(limits):
+            return cohorts.transitions_of_steps(self._whole(stored.STEPS), limits)
+        return cohorts.bucket_transitions(self.user_totals(), limits)
 
     def get_bucket_retention(self, buckets: Sequence[float] | None = None) -> DataFrame:
         return cohorts.bucket_retention(self.get_bucket_transitions(buckets))
@@ -166,11 +214,15 @@ class FillAnalytics:
     def get_bucket_mobility(
         self, horizon_days: Sequence[int] | None = None, buckets: Sequence[float] | None = None
     ) -> DataFrame:
-        return cohorts.bucket_mobility(
-            self.user_totals(),
-            HORIZONS if horizon_days is None else horizon_days,
-            USER_BUCKETS if buckets is None else buckets,
-        )
+        limits = USER_BUCKETS if buckets is None else buckets
+        horizons = HORIZONS if horizon_days is None else horizon_days
+        if self._stores(limits):
+            return cohorts.mobility_of_journeys(self._whole(stored.JOURNEYS), horizons, limits)
+        return cohorts.bucket_mobility(self.user_totals(), horizons, limits)
+
+    def _stores(self, buckets: Sequence[float]) -> bool:
+        """Whether journeys and steps are stored for these buckets."""
+        return self.mart_dir is not None and tuple(map(float, buckets)) == self._state.thresholds
 
     def get_mobility_long(
         self, horizon_days: Sequence[int] | None = None, buckets: Sequence[float] | None = None

@@ -15,9 +15,11 @@ from fillmetrics.operators.marts import MARKET_SIDES
 from fillmetrics.plans.marts import build_marts, marts_exist, stale_dates
 from fillmetrics.schema import CATALOG, NUMERIC, SourceSpec
 from fillmetrics.session import BYTES_PER_PARTITION, configure, sized_shuffles
-from fillmetrics.sources.listing import list_raw, stored_dates
+from fillmetrics.sources.ledger import RawLedger
+from fillmetrics.sources.listing import list_raw
 from fillmetrics.sources.raw import raw_directory, read_raw
-from fillmetrics.sources.tables import scan_normalized, write_by_date
+from fillmetrics.sources.snapshots import stored_dates
+from fillmetrics.sources.tables import scan_normalized, store_dates, write_by_date
 
 PLAN = "date date, dataset string, files bigint, bytes bigint, largest bigint, status string"
 
@@ -34,7 +36,9 @@ class PipelineConf:
     """Where data lives and what to run.
 
     ``on_bad`` is ``fail`` (one pass) or ``quarantine`` (a second pass collects the defective rows under
-    ``quarantine_path``). ``spread_raw_file`` is the file size above which lines are spread before parsing.
+    ``quarantine_path``). ``spread_raw_file`` is the file size above which lines are spread before parsing. ``published``
+    fills change for readers once per run, all dates together; a table with plain date folders keeps them. With a
+    ``ledger_path`` only new and open raw folders are listed. ``with_sketches`` adds that mart when all are built.
     """
 
     raw_root: str
@@ -49,8 +53,11 @@ class PipelineConf:
     append_only: bool = False
     transport: str = "stream"
     spread_raw_file: int = SPREAD_RAW_FILE
+    published: bool = True
     numeric: str = NUMERIC
     sides: Sequence[str] = MARKET_SIDES
+    with_sketches: bool = False
+    ledger_path: str | None = None
     catalog: Sequence[SourceSpec] = field(default=CATALOG)
 
 
@@ -61,7 +68,11 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
     """
     if conf.on_bad == "quarantine" and not conf.quarantine_path:
         raise ValueError("on_bad='quarantine' needs quarantine_path")
-    plan = normalize.source_plan(list_raw(spark, conf.raw_root), conf.catalog)
+    if conf.ledger_path:
+        files = RawLedger(spark, conf.ledger_path).refreshed(conf.raw_root)
+    else:
+        files = list_raw(spark, conf.raw_root)
+    plan = normalize.source_plan(files, conf.catalog)
     if conf.skip_existing:
         plan = normalize.pending(plan, stored_dates(spark, conf.fills_path))
     decided = plan.select("date", "dataset", "files", "bytes", "largest", "status").orderBy("date").collect()
@@ -80,9 +91,10 @@ def normalize_dates(spark: SparkSession, conf: PipelineConf) -> DataFrame:
     days = [row.date for row in chosen]
     good = normalize.accepted(converted, conf.on_bad)
     with sized_shuffles(spark, total * RAW_INFLATION):
-        write_by_date(good, conf.fills_path, days=days)
         if conf.on_bad == "quarantine":
             write_by_date(normalize.rejected(converted), conf.quarantine_path, days=days)
+        # Last, so that a run which broke off before leaves its dates pending.
+        store_dates(good, conf.fills_path, days, conf.published)
 
     written = (
         scan_normalized(spark, conf.fills_path)
@@ -122,7 +134,7 @@ def run_pipeline(spark: SparkSession, conf: PipelineConf) -> DataFrame | None:
         touched = [row.date for row in outcome if row.status == "success"]
     if conf.skip_marts:
         return status
-    build = {"sides": conf.sides, "numeric": conf.numeric}
+    build = {"sides": conf.sides, "numeric": conf.numeric, "with_sketches": conf.with_sketches or None}
     if conf.rebuild_marts or not marts_exist(spark, conf.mart_root):
         build_marts(spark, conf.fills_path, conf.mart_root, **build)
         return status

@@ -78,8 +78,3 @@ def stored_files(spark: SparkSession, path: str, days: Iterable[date] | None = N
     return found.groupBy(F.col("date").cast("date").alias("date")).agg(
         F.max("path").alias("last_file"), F.sum("length").alias("bytes")
     )
-
-
-def stored_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct partition dates of a stored table."""
-    return stored_files(spark, path).select("date")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from fillmetrics.schema import NORMALIZED_PARTITIONED
 from fillmetrics.sources.listing import stored_files
+from fillmetrics.sources.snapshots import PublishedTable
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -19,7 +20,37 @@ def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def scan_normalized(spark: SparkSession, path: str) -> DataFrame:
-    return scan_table(spark, path, NORMALIZED_PARTITIONED)
+    """Stored fills: the last published version, or the folders as they are where nothing is published."""
+    table = PublishedTable(spark, path)
+    snapshot = table.snapshot()
+    if snapshot is None:
+        return scan_table(spark, path, NORMALIZED_PARTITIONED)
+    return table.read(snapshot, NORMALIZED_PARTITIONED)
+
+
+def open_stored(spark: SparkSession, path: str) -> tuple[dict[date, tuple[str, int]], DataFrame]:
+    """One state of a stored table: last file (or run) and bytes per date, and the rows."""
+    table = PublishedTable(spark, path)
+    snapshot = table.snapshot()
+    if snapshot is not None:
+        held = {day: (entry.run, entry.bytes) for day, entry in snapshot.dates.items()}
+        return held, table.read(snapshot, NORMALIZED_PARTITIONED)
+    held = {row.date: (row.last_file, row.bytes) for row in stored_files(spark, path).collect()}
+    return held, scan_table(spark, path, NORMALIZED_PARTITIONED)
+
+
+def store_dates(df: DataFrame, path: str, days: Iterable[date], published: bool = True) -> None:
+    """Replace ``days`` of a stored table, all at once if it is ``published``.
+
+    A table that has plain folders already keeps them.
+    """
+    days = list(days)
+    table = PublishedTable(df.sparkSession, path)
+    plain = not published or table.snapshot() is None and not stored_files(df.sparkSession, path).isEmpty()
+    if plain:
+        write_by_date(df, path, days=days)
+    else:
+        table.publish(df, days)
 
 
 def write_by_date(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from fillmetrics import FillAnalytics, PipelineConf, run_pipeline, validate
 from fillmetrics.operators import inventory
 from fillmetrics.plans.marts import build_marts
-from fillmetrics.sources.listing import list_raw, stored_dates, with_keys
+from fillmetrics.sources.listing import list_raw, with_keys
 from fillmetrics.sources.raw import count_lines, line_arrays, read_raw
+from fillmetrics.sources.snapshots import stored_dates
 from fillmetrics.sources.tables import checkpoint_folder, checkpointed, scan_normalized, write_by_date
 
 
