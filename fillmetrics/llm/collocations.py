@@ -7,6 +7,11 @@ the right and to the left enumerate every phrase of the shard with its count, al
 pieces have id 0 and are never extended over. Counts are summed across shards, so phrases are dropped as rare only once
 their whole count is known. The empty phrase counts all words of a language.
 
+A phrase cannot be frequent unless all its parts are. So hashes of the phrases shorter than the depth are counted first, and the
+frequent ones set bits in a filter of fixed size. Then phrases are extended only where the filter has their parts. A bit set by
+another phrase costs a row that is dropped later, never a phrase; in a corpus with so many frequent phrases that the filter is
+full, everything is extended.
+
 A cut of a candidate into two parts is scored by the counts of both; extensions of a candidate are the candidates that hold it.
 
 A null text is empty, a null language is ``und``; repeated rows count each. Ties in score go by count, then by phrase.
@@ -14,11 +19,13 @@ A null text is empty, a null language is ``und``; repeated rows count each. Ties
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +39,7 @@ HELD_PERCENT = 50
 SCALE = 1_000_000
 SHARD_WORDS = 1 << 20
 BATCH_ROWS = 50_000
+FILTER_BITS = 1 << 27
 
 # Bytes at which a text is cut into pieces become one that no UTF-8 text has; tabs become spaces.
 BREAK = b"\xff"
@@ -115,44 +123,76 @@ class ShardIndex:
         columns = [word, *columns] if left else [*columns, word]
         return Intervals(columns, moved if left else kept, kept if left else moved, count)
 
-    def phrases(self) -> Iterator[Intervals]:
-        """Phrases of one word, two words, ... up to the depth."""
+    def phrases(self, keep: Callable[[Intervals], np.ndarray] | None = None) -> Iterator[Intervals]:
+        """Phrases of one word, two words, ... up to the depth; with ``keep``, extensions of those it is true of."""
         found = self.words()
         yield found
         for length in range(1, self.depth):
             found = self.extended(found, left=length % 2 == 0)
+            if keep is not None:
+                kept = keep(found)
+                found = Intervals([column[kept] for column in found.words], found.ahead[kept], found.back[kept], found.count[kept])
             yield found
 
 
-def shard_phrases(words: list[bytes], depth: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """Length, phrases and counts of a shard; the empty phrase comes first. Phrases come sorted by their ends or starts."""
-    coded = pa.array([BREAK, *words], pa.binary()).dictionary_encode()
-    index = ShardIndex(coded.indices.to_numpy()[1:], len(coded.dictionary), depth)
-    yield 0, pa.array([b""], pa.binary()), np.array([index.counts[1:].sum()])
-    for length, found in enumerate(index.phrases(), 1):
-        columns = [coded.dictionary.take(pa.array(column)) for column in found.words]
-        yield length, columns[0] if length == 1 else pc.binary_join_element_wise(*columns, b" "), found.count
-
-
-def counted(docs: DataFrame, depth: int = DEPTH, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``lang``, ``words``, ``phrase``, ``f``: occurrences of every phrase of up to ``depth`` words, and of the empty one."""
+class Shard:
+    """The index of some words of a language, and the hashes of its phrases."""
+
+    def __init__(self, lang: str, words: list[bytes], depth: int):
+        coded = pa.array([BREAK, *words], pa.binary()).dictionary_encode()
+        words.clear()
+        self.lang, self.depth, self.dictionary = lang, depth, coded.dictionary
+        seed = xxhash.xxh3_64_intdigest(lang.encode()) & 0xFFFFFFFF
+        hashes = [xxhash.xxh3_64_intdigest(word, seed) for word in coded.dictionary.to_pylist()]
+        self.word_hashes = np.array(hashes, np.uint64)
+        self.index = ShardIndex(coded.indices.to_numpy()[1:], len(coded.dictionary), depth)
+
+    def hashes(self, words: list[np.ndarray]) -> np.ndarray:
+        """A hash of each phrase that depends on its words and their order."""
+        found = self.word_hashes[words[0]]
+        for column in words[1:]:
+            found = (found ^ (found >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + self.word_hashes[column]
+        return found ^ (found >> np.uint64(29))
+
+    def short_hashes(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Hashes and counts of the phrases of two words up to one less than the depth, sorted by hash."""
+        for length, found in enumerate(self.index.phrases(), 1):
+            if length > 1:
+                hashes = self.hashes(found.words)
+                order = np.argsort(hashes)
+                yield hashes[order], found.count[order]
+            if length == self.depth - 1:
+                return
+
+    def phrases(self, frequent: np.ndarray | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+        """Length, phrases and counts; the empty phrase comes first. ``frequent`` is the filter, as bytes."""
+
+        def may_be(words: list[np.ndarray]) -> np.ndarray:
+            place = self.hashes(words) % np.uint64(8 * len(frequent))
+            return frequent[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+        def keep(found: Intervals) -> np.ndarray:
+            words = found.words
+            if len(words) < self.depth:
+                return may_be(words)
+            return may_be(words[1:]) & may_be(words[:-1]) if len(words) > 2 else np.ones(len(found.count), bool)
+
+        yield 0, pa.array([b""], pa.binary()), np.array([self.index.counts[1:].sum()])
+        for length, found in enumerate(self.index.phrases(None if frequent is None else keep), 1):
+            for at in range(0, len(found.count), BATCH_ROWS):
+                columns = [self.dictionary.take(pa.array(column[at : at + BATCH_ROWS])) for column in found.words]
+                joined = columns[0] if length == 1 else pc.binary_join_element_wise(*columns, b" ")
+                yield length, joined, found.count[at : at + BATCH_ROWS]
+
+
+def _shards(docs: DataFrame, depth: int, shard_words: int, rows: Callable[[Shard], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What ``rows`` makes of each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = {}
 
         def index(lang: str) -> Iterator[pa.RecordBatch]:
-            for length, phrases, count in shard_phrases(waiting.pop(lang), depth):
-                for at in range(0, len(phrases), BATCH_ROWS):
-                    part = phrases.slice(at, BATCH_ROWS)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.repeat(pa.scalar(lang), len(part)),
-                            pa.repeat(pa.scalar(length, pa.int32()), len(part)),
-                            part.cast(pa.string()),
-                            pa.array(count[at : at + BATCH_ROWS], pa.int64()),
-                        ],
-                        names=["lang", "words", "phrase", "f"],
-                    )
+            yield from rows(Shard(lang, waiting.pop(lang), depth))
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -169,8 +209,71 @@ def counted(docs: DataFrame, depth: int = DEPTH, shard_words: int = SHARD_WORDS)
         F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    shards = texts.mapInArrow(run, "lang string, words int, phrase string, f long")
+    return texts.mapInArrow(run, schema)
+
+
+def frequent_filter(
+    docs: DataFrame, depth: int = DEPTH, least: int = LEAST_COUNT, shard_words: int = SHARD_WORDS, bits: int = FILTER_BITS
+) -> bytes:
+    """``bits`` bits, of which those are set that frequent phrases shorter than the depth hash to.
+
+    This is all that comes to the driver and goes to the executors: its size is a parameter, whatever the corpus.
+    """
+
+    def rows(shard: Shard) -> Iterator[pa.RecordBatch]:
+        for hashes, count in shard.short_hashes():
+            for at in range(0, len(hashes), BATCH_ROWS):
+                columns = [hashes[at : at + BATCH_ROWS].view(np.int64), count[at : at + BATCH_ROWS].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["hash", "f"])
+
     # Each shard has summed its own phrases already: another round of sums before the shuffle would only hold them again.
+    sums = _shards(docs, depth, shard_words, rows, "hash long, f long").repartition("hash").groupBy("hash").agg(F.sum("f").alias("f"))
+    # The place of an unsigned hash; bitmaps count places from one.
+    place = F.expr(f"hash & {bits - 1}L") + 1
+    pages = (
+        sums.where(F.col("f") >= least)
+        .select(F.bitmap_bucket_number(place).alias("page"), F.bitmap_bit_position(place).alias("at"))
+        .groupBy("page")
+        .agg(F.bitmap_construct_agg("at").alias("set"))
+    )
+    found = bytearray(bits // 8)
+    for row in pages.collect():
+        start = (row.page - 1) * len(row.set)
+        part = bytes(row.set)[: len(found) - start]
+        found[start : start + len(part)] = part
+    return bytes(found)
+
+
+def counted(
+    docs: DataFrame,
+    depth: int = DEPTH,
+    least: int = LEAST_COUNT,
+    shard_words: int = SHARD_WORDS,
+    filter_bits: int | None = FILTER_BITS,
+) -> DataFrame:
+    """``lang``, ``words``, ``phrase``, ``f``: occurrences of phrases of up to ``depth`` words, and of the empty one.
+
+    Of phrases of fewer than ``least`` occurrences some are left out, or all are there without a filter. ``filter_bits`` is a
+    power of two.
+    """
+    frequent: Broadcast | None = None
+    if filter_bits and depth > 2:
+        frequent = docs.sparkSession.sparkContext.broadcast(frequent_filter(docs, depth, least, shard_words, filter_bits))
+
+    def rows(shard: Shard) -> Iterator[pa.RecordBatch]:
+        bits = None if frequent is None else np.frombuffer(frequent.value, np.uint8)
+        for length, phrases, count in shard.phrases(bits):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.repeat(pa.scalar(shard.lang), len(count)),
+                    pa.repeat(pa.scalar(length, pa.int32()), len(count)),
+                    phrases.cast(pa.string()),
+                    pa.array(count, pa.int64()),
+                ],
+                names=["lang", "words", "phrase", "f"],
+            )
+
+    shards = _shards(docs, depth, shard_words, rows, "lang string, words int, phrase string, f long")
     return shards.repartition("lang", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 
 
@@ -185,9 +288,10 @@ def collocations(
     first: int = FIRST,
     held_percent: int = HELD_PERCENT,
     shard_words: int = SHARD_WORDS,
+    filter_bits: int | None = FILTER_BITS,
 ) -> DataFrame:
     """The ``first`` candidates of each language: ``lang, rank, phrase, a, l, r, n, score``."""
-    counts = checkpointed(counted(docs, depth, shard_words).where((F.col("f") >= least) | (F.col("words") == 0)))
+    counts = checkpointed(counted(docs, depth, least, shard_words, filter_bits).where((F.col("f") >= least) | (F.col("words") == 0)))
     phrases = counts.where(F.col("words") > 0)
     candidates = phrases.where(F.col("words") > 1).withColumnRenamed("f", "a")
 

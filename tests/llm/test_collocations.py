@@ -55,11 +55,14 @@ def texts(seed, number):
     return rows + [("en", None), (None, ""), ("fr", " \t "), ("en", "one two three " * 12), ("en", "one two three " * 12)]
 
 
-@pytest.mark.parametrize("depth,shard,first", [(3, 1 << 20, 2000), (3, 30, 5), (4, 100, 2000), (2, 100, 2000)])
-def test_equals_counting(spark, depth, shard, first):
+@pytest.mark.parametrize(
+    "depth,shard,first,bits",
+    [(3, 1 << 20, 2000, 1 << 20), (3, 30, 5, 1 << 16), (4, 100, 2000, 1 << 12), (2, 100, 2000, 64), (4, 50, 2000, None), (3, 50, 2000, 64)],
+)
+def test_equals_counting(spark, depth, shard, first, bits):
     rows = texts(depth, 300)
     docs = spark.createDataFrame([(*row, "x") for row in rows], "lang string, text string, phrase string").repartition(5)
-    got = co.collocations(docs, depth=depth, first=first, shard_words=shard).collect()
+    got = co.collocations(docs, depth=depth, first=first, shard_words=shard, filter_bits=bits).collect()
     assert len(got) == len({tuple(row) for row in got})
     assert {tuple(row) for row in got} == brute(rows, depth, first=first)
 
