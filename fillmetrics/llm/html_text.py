@@ -1,20 +1,25 @@
 """Main text of web pages by site style trees.
 
 The pages of a host are merged: elements with the same path of styles (tag and class from the root down) are one style node. Pages
-of a host with the same text (all of it but declared menus and the like) count as one page. Over the ``m`` pages that have a node, a content feature (the text of an element there) held by ``c`` pages has entropy log_m c, and
-the node's content importance is one minus the mean entropy: what repeats on every page is worth nothing. Its presentation
-importance is the entropy of the sequences of children it has on different pages. Both are weighed into one importance;
-branches whose score is below ``THRESHOLD`` are removed from each page. The score is the importance, weighed by what elements
-declare: zero for menus, footers, adverts and the like; raised by ``MAIN_RAISE`` inside an article or main element; times
-``OUTSIDE_WEIGHT`` outside of it, on a page where one has text. The outermost article or main never falls with a branch above it,
-nor does one inside it but by its own score, and where nothing in them would be left all their text stays. A node on fewer than
-``LEAST_PAGES`` pages of its host has importance one half for want of evidence.
+of a host with the same text (all of it but declared menus and the like) count as one page. Over the ``m`` pages that have a node, a
+content feature (the text of an element there) held by ``c`` pages has entropy log_m c, and the node's content importance is one
+minus the mean entropy: what repeats on every page is worth nothing. Its presentation importance is the entropy of the sequences of
+children it has on different pages. Both are weighed into one importance; branches whose importance (raised by ``MAIN_RAISE`` inside
+an article or main element) is below ``THRESHOLD`` are removed from each page. The outermost article or main never falls with a branch
+above it, nor does one inside it but by its own score, and where nothing in them would be left all their text stays. A node on fewer
+than ``LEAST_PAGES`` pages of its host has no importance for want of evidence, and stays.
+
+What elements declare comes first. Menus, footers, forms and other elements that are never the article are left out, and so are
+those whose class, id or role names adverts, comments and the like. A class that names a place (header, sidebar, search) may be
+that of a layout around the article, so it only casts doubt: on a page with an article (or main) all text comes from articles,
+on any other from the whole page, and in both cases from what is doubted least. Classes of html and body count for nothing, and
+neither does a word after one of layout ("with-sidebar").
 
 Blocks of the remaining text are joined by an empty line, white space in a block is one space, character references are decoded.
 A null or empty page has the empty text. Broken markup is read as far as it goes. A null url is a host of its own.
 
-Only hashes are gathered by host, each combined before the shuffle; a page's text never leaves its row. The decided nodes of a host go
-back to its pages by a join whose small side is broadcast if counted to be small. Repeated rows have a text each.
+Only hashes are gathered by host, each combined before the shuffle; a page's text never leaves its row. The removed nodes of a host go
+back to its pages by a join whose small side is broadcast if its measured size is small. Repeated rows have a text each.
 """
 
 from __future__ import annotations
@@ -33,10 +38,13 @@ LEAST_PAGES = 5
 THRESHOLD = 0.3
 PRESENTATION_WEIGHT = 0.1
 MAIN_RAISE = 0.1
-OUTSIDE_WEIGHT = 0.5
-MOST_BROADCAST = 100_000
+MOST_BROADCAST_BYTES = 32 << 20
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
+# A quoted value may hold the sign that ends a tag; a quote that is not closed, or not after "=", is a sign like others.
+TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
+    re.DOTALL,
+)
 CLASSES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 # Fixed values of the markup language.
@@ -53,20 +61,27 @@ CLOSES_PARAGRAPH = frozenset(
 ENDS_ITSELF = {"li": "li", "tr": "tr", "td": "td", "th": "th", "dt": "dt", "dd": "dd", "option": "option"}
 # What elements say about themselves.
 BOILERPLATE_TAGS = frozenset("head nav footer aside form button select menu dialog".split()) | RAW
-BOILERPLATE_WORDS = frozenset(
-    "ad ads advert adverts advertisement alert banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "dialog footer header masthead menu modal nav navbar navigation newsletter notice popup promo related search share "
-    "sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary".split()
+# Words in classes, ids and roles: of what is never the article, and of what may also name the layout that holds it.
+FOREIGN_WORDS = frozenset(
+    "ad ads advert adverts advertisement comment comments consent cookie cookies newsletter popup promo related sponsor "
+    "sponsored subscribe".split()
+)
+PLACE_WORDS = frozenset(
+    "alert banner breadcrumb breadcrumbs complementary contentinfo dialog footer header masthead menu modal nav navbar "
+    "navigation notice search share sidebar social toolbar widget".split()
 )
+BOILERPLATE_WORDS = FOREIGN_WORDS | PLACE_WORDS
 MAIN_TAGS = frozenset(("article", "main"))
+# Words of layout: what follows them is beside the element, not the element.
+LAYOUT_WORDS = frozenset("has with no without show hide hidden off".split())
 
 
 class Element:
-    __slots__ = ("tag", "key", "dropped", "main", "faded", "children", "texts")
+    __slots__ = ("tag", "key", "dropped", "doubted", "main", "faded", "children", "texts")
 
-    def __init__(self, tag: str, key: int, dropped: bool, main: bool, faded: bool):
-        # Dropped by what it declares, faded by the tree.
-        self.tag, self.key, self.dropped, self.main, self.faded = tag, key, dropped, main, faded
+    def __init__(self, tag: str, key: int, dropped: bool, doubted: int, main: bool, faded: bool):
+        # Dropped by its tag or one around it, doubted by so many classes around it, faded by the tree.
+        self.tag, self.key, self.dropped, self.doubted, self.main, self.faded = tag, key, dropped, doubted, main, faded
         self.children: list[str] = []
         self.texts: list[str] = []
 
@@ -81,27 +96,28 @@ def _key(text: str) -> int:
 class Page:
     """One walk over a page: blocks with the style nodes above them, and the features of every element."""
 
-    def __init__(self, html: str, removed: frozenset[int] = frozenset(), telling: frozenset[int] = frozenset()):
+    def __init__(self, html: str, removed: frozenset[int] = frozenset()):
         self.removed = removed
-        self.telling = telling  # nodes outside main that stay beside one
         self.blocks: list[tuple[Element, str]] = []  # the element a text is in, text
         self.features: set[tuple[int, bool, int, int]] = set()  # node, inside main, content, children
         self.parts: list[str] = []
-        self.stack = [Element("", 0, False, False, False)]
+        self.stack = [Element("", 0, False, 0, False, False)]
         self._walk(html)
 
     def text(self) -> str:
-        inside = [top for top, _ in self.blocks if top.main]
-        spared = all(top.faded for top in inside)
-        return "\n\n".join(
-            text
-            for top, text in self.blocks
-            if (spared or not top.faded if top.main else not top.faded and (not inside or top.key in self.telling))
-        )
+        """The blocks of the articles, or of the whole page where it has none; of these, what classes doubt least."""
+        inside = [entry for entry in self.blocks if entry[0].main]
+        chosen = inside or self.blocks
+        doubts = {top.doubted for top, _ in chosen}
+        if not inside and 0 not in doubts and len(doubts) < 2:
+            return ""  # a page that is all menu, or the like
+        chosen = [(top, text) for top, text in chosen if top.doubted == min(doubts)]
+        left = [text for top, text in chosen if not top.faded]
+        return "\n\n".join(left if left or not inside else [text for _, text in chosen])
 
     def whole(self) -> int:
         """The hash of all text but that of declared boilerplate."""
-        return _key("\n".join(text for _, text in self.blocks))
+        return _key("\n".join(text for top, text in self.blocks if not top.doubted))
 
     def _flush(self) -> None:
         if self.parts:
@@ -122,20 +138,26 @@ class Page:
                 words = re.split(r"[\s_-]+", " ".join(found).lower())
         above.children.append(style)
         key = _key(f"{above.key}/{style}")
-        declared = tag in MAIN_TAGS or "main" in words
-        boilerplate = tag in BOILERPLATE_TAGS or (tag == "header" and not above.main) or not BOILERPLATE_WORDS.isdisjoint(words)
-        dropped = above.dropped or (boilerplate and not (declared and not words))
+        words = [word for before, word in zip(("", *words), words) if before not in LAYOUT_WORDS]
+        foreign, place = not FOREIGN_WORDS.isdisjoint(words), not PLACE_WORDS.isdisjoint(words)
+        declared = tag in MAIN_TAGS or ("main" in words and not foreign and not place)
+        dropped = above.dropped or tag in BOILERPLATE_TAGS or (tag == "header" and not above.main)
+        doubted = above.doubted
+        if tag not in ("html", "body"):
+            # Of an outermost article a class says little; one within another may be a comment on it.
+            dropped |= foreign and (above.main or tag not in MAIN_TAGS)
+            doubted += foreign or place
         main = above.main or (declared and not dropped)
         faded = key in self.removed
         if not (declared and main):
             faded |= above.faded
         elif not above.main:
             faded = False
-        self.stack.append(Element(tag, key, dropped, main, faded))
+        self.stack.append(Element(tag, key, dropped, doubted, main, faded))
 
     def _close(self) -> None:
         element = self.stack.pop()
-        if not element.dropped:
+        if not element.dropped and not element.doubted:
             # Blocks within count as a part of the elements around them by their hash alone.
             whole = _key("\n".join(element.texts))
             self.features.add((element.key, element.main, whole, _key(" ".join(element.children))))
@@ -236,38 +258,30 @@ def importances(pages: DataFrame, least_pages: int = LEAST_PAGES, weight: float
     return both.select("host", "node", "inside", importance.alias("importance"))
 
 
-def decided_nodes(
-    pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD, weight: float = PRESENTATION_WEIGHT
-) -> DataFrame:
-    """``host``, ``node``, ``removed`` of the nodes that go, and of those outside an article or main that stay beside one."""
-    removed = F.col("importance") + F.when(F.col("inside"), F.lit(MAIN_RAISE)).otherwise(F.lit(0.0)) < threshold
-    telling = ~F.col("inside") & (F.col("importance") * OUTSIDE_WEIGHT >= threshold)
-    return importances(pages, least_pages, weight).where(removed | telling).select("host", "node", removed.alias("removed"))
-
-
 def removed_nodes(
     pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD, weight: float = PRESENTATION_WEIGHT
 ) -> DataFrame:
     """``host``, ``node`` of the style nodes whose score is below the threshold."""
-    return decided_nodes(pages, least_pages, threshold, weight).where("removed").select("host", "node")
+    score = F.col("importance") + F.when(F.col("inside"), F.lit(MAIN_RAISE)).otherwise(F.lit(0.0))
+    return importances(pages, least_pages, weight).where(score < threshold).select("host", "node")
 
 
 def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
     """``page_id``, ``url``, ``text`` of every page."""
-    of_kind = lambda kind: F.collect_list(F.when(kind, F.col("node")))
-    decided = checkpointed(
-        decided_nodes(pages, least_pages, threshold)
+    removed = checkpointed(
+        removed_nodes(pages, least_pages, threshold)
         .groupBy(F.col("host").alias("its_host"))
-        .agg(of_kind(F.col("removed")).alias("removed"), of_kind(~F.col("removed")).alias("telling"))
+        .agg(F.collect_list("node").alias("removed"))
     )
-    if decided.count() <= MOST_BROADCAST:
-        decided = F.broadcast(decided)
+    size = removed.agg(F.sum(F.size("removed") + 4)).first()[0] or 0
+    if 8 * size <= MOST_BROADCAST_BYTES:
+        removed = F.broadcast(removed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                Page(html, frozenset(removed or ()), frozenset(telling or ())).text() if html else ""
-                for html, removed, telling in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))
+                Page(html, frozenset(removed or ())).text() if html else ""
+                for html, removed in zip(*(batch.column(k).to_pylist() for k in (2, 3)))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -276,7 +290,7 @@ def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: floa
     kind = pages.schema["page_id"].dataType.simpleString()
     return (
         pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string"))
-        .join(decided, _host(F.col("url")) == F.col("its_host"), "left")
-        .select("page_id", "url", "html", "removed", "telling")
+        .join(removed, _host(F.col("url")) == F.col("its_host"), "left")
+        .select("page_id", "url", "html", "removed")
         .mapInArrow(run, f"page_id {kind}, url string, text string")
     )
