@@ -83,9 +83,12 @@ def measures(text: str | None) -> tuple[list[int], dict[int, int]]:
 
 def _measured(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
         for batch in batches:
             found = [measures(text) for text in batch.column(2).to_pylist()]
             counts = np.array([f[0] for f in found], dtype=np.int64).reshape(-1, 5)
+            texts = [None if text is None else xxh3_128_digest(text.encode()) for text in batch.column(2).to_pylist()]
             hashes = [np.fromiter(f[1].keys(), dtype=np.uint64, count=len(f[1])).view(np.int64) for f in found]
             columns = [
                 batch.column(0),
@@ -93,20 +96,39 @@ def _measured(docs: DataFrame) -> DataFrame:
                 *[pa.array(counts[:, k]) for k in range(5)],
                 pa.array(hashes, pa.list_(pa.int64())),
                 pa.array([list(f[1].values()) for f in found], pa.list_(pa.int32())),
+                pa.array(texts, pa.binary()),
             ]
-            names = ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_words"]
+            names = ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_words", "digest"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, host string, {FIELDS}, lines array<long>, line_words array<int>"
+    schema = f"doc_id {kind}, host string, {FIELDS}, lines array<long>, line_words array<int>, digest binary"
     return docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
 
 
+def documents(measured: DataFrame) -> DataFrame:
+    """One row of each document: rows that share host, id and text are one, rows without an id are each their own."""
+    keys = ["host", "doc_id", "digest"]
+    repeated = (
+        measured.where(F.col("doc_id").isNotNull())
+        .groupBy(*keys)
+        .agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows"))
+        .where(F.col("rows") > 1)
+        .select(*[F.col(name).alias(f"its_{name}") for name in keys], "first")
+    )
+    repeated = checkpointed(repeated)
+    if repeated.isEmpty():
+        return measured
+    same = [F.col(name).eqNullSafe(F.col(f"its_{name}")) for name in keys]
+    return measured.join(repeated, same, "left").where(F.col("first").isNull() | (F.col("first") == F.col("row")))
+
+
 def frequent_lines(measured: DataFrame, least: int = LEAST, few: int = FEW, share: float = SHARE) -> DataFrame:
     """``host``, ``line`` in more than ``least`` documents of the host, or in more than ``few`` and more than ``share`` of them."""
-    hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    distinct = documents(measured)
+    hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     counted = (
-        measured.select("host", F.explode("lines").alias("line"))
+        distinct.select("host", F.explode("lines").alias("line"))
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("holders"))
         .where(F.col("holders") > min(least, few))
@@ -147,7 +169,7 @@ def judged(
         F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT
     )
     return (
-        measured.drop("lines", "line_words")
+        measured.drop("lines", "line_words", "digest")
         .join(removed, "row", "left")
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
         .withColumn("base_failed", failed)
