@@ -109,9 +109,13 @@ def contained(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents that contain no item; rows without an id stay."""
-    hit = checkpointed(contained(docs, items, shingle, percent).select("doc_id").distinct())
-    return docs.join(_small(hit, hit.count()), "doc_id", "left_anti").select(docs.columns)
+    """The rows whose text contains no item, whatever other rows share their id."""
+    digest = F.sha2(F.col("text").cast("string").cast("binary"), 256)
+    texts = docs.where(F.col("text").isNotNull()).select(digest.alias("doc_id"), "text")
+    found = contained(texts, items, shingle, percent)
+    hit = checkpointed(found.select(F.col("doc_id").alias("its_digest")).distinct())
+    rows = docs.select(F.struct(*[F.col(name) for name in docs.columns]).alias("row"), digest.alias("digest"))
+    return rows.join(_small(hit, hit.count()), F.col("digest") == F.col("its_digest"), "left_anti").select("row.*")
 
 
 SQL = r"""

@@ -55,8 +55,8 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id") -> DataFrame:
+    """``key``, ``fp`` (the fingerprint's bits as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -64,10 +64,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(text, shingle) for text in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=[key, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, fp long")
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, F.col("text").cast("string")).mapInArrow(run, f"{key} {kind}, fp long")
 
 
 def trie_pairs(prints: DataFrame, budget: int = BUDGET, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
@@ -118,7 +118,38 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGL
 
 
 def deduplicated(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGLE) -> DataFrame:
-    """The documents that are the first of their component; rows with a null ``doc_id`` stay."""
-    classes = near_duplicates(docs, budget, shingle)
-    gone = classes.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each component.
+
+    A document is an id with a text, since rows may share either. The one with the smallest id stays (a null id is larger
+    than any; ties go by a digest of the text), and one row of it if the row is repeated.
+    """
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    keyed = docs.select("doc_id", "text", F.struct("doc_id", digest.alias("digest")).alias("document"))
+    prints = checkpointed(fingerprints(keyed, shingle, "document"))
+    labels = components(trie_pairs(prints, budget)).withColumnRenamed("node", "fp")
+    held = prints.groupBy("fp", "document").agg(F.count(F.lit(1)).alias("rows")).join(labels, "fp", "left")
+    rank = F.struct(F.col("document.doc_id").isNull().alias("unnamed"), "document", "rows")
+    group = F.coalesce("label", "fp").alias("group")
+    stays = held.groupBy(group).agg(F.min(rank).alias("stays")).select("group", "stays.document", "stays.rows")
+    decided = checkpointed(
+        held.select(group, F.col("document").alias("other"))
+        .join(stays, "group")
+        .select(
+            F.col("other.doc_id").alias("its_id"),
+            F.col("other.digest").alias("its_digest"),
+            (F.col("other") == F.col("document")).alias("stays"),
+            "rows",
+        )
+    )
+    named = [F.col(name) for name in docs.columns]
+    rows = docs.select(F.struct(*named).alias("row"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
+    left = rows.join(decided.where(~F.col("stays")), same, "left_anti")
+    repeated = decided.where(F.col("stays") & (F.col("rows") > 1))
+    if not repeated.isEmpty():
+        single = left.join(repeated, same, "left_anti").select("row")
+        one = left.join(repeated, same, "left_semi").groupBy("id", "digest").agg(
+            F.max_by("row", F.xxhash64(F.to_json("row"))).alias("row")
+        )
+        return single.unionByName(one.select("row")).select("row.*")
+    return left.select("row.*")

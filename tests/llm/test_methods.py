@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_every_operator_is_registered():
     numbers = {int(m[1]) for m in (re.match(r"op(\d+)_", name) for name in registry.queries()) if m}
-    assert numbers == set(range(1, 11)) and "pipeline" in registry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in registry.queries()
 
 
 def documents(spark, sf):
@@ -225,13 +225,48 @@ def test_the_tree_decides_inside_and_outside_of_articles(spark):
         "<div class=more><p>Read this too</p></div><p>More words {0}</p></article></body>"
     )
     texts = texts_of(spark, [frame.format(k) for k in range(20)])
-    assert texts[4] == "Lead 4\n\nWords 4\n\nMore words 4"
+    assert texts[4] == "Words 4\n\nMore words 4"
     # Too few pages to know: what is outside of an article goes, what is inside stays.
     assert texts_of(spark, [frame.format(1)]) == ["Words 1\n\nRead this too\n\nMore words 1"]
     # A menu that calls itself main is no main part of the page.
     assert texts_of(spark, ["<div class='main-menu'>Home</div><div>Some words</div>"]) == ["Some words"]
 
 
+ARTICLE = "<article><p>The words</p><div class='{0}'>Beside</div></article>"
+
+
+@pytest.mark.parametrize("word", sorted(html_text.BOILERPLATE_WORDS))
+def test_classes_around_an_article_lose_nothing(word):
+    for page in (
+        f"<body class='{word}'>{ARTICLE}", f"<html id={word}><body>{ARTICLE}", f"<div class='content-with-{word}'>{ARTICLE}</div>",
+        f"<body class='has-{word} {word}-left'><main>{ARTICLE}</main><div class='{word}'>Other</div>",
+        f"<article class='{word}-post'><p>The words</p></article>",
+    ):
+        assert html_text.Page(page.format(word)).text() == "The words", page
+    for page in (f"<div class='{word}'>Other</div><p>The words", f"<p>The words<div id={word}><p>Other</div>"):
+        assert html_text.Page(page).text() == "The words"
+    if word in html_text.PLACE_WORDS:
+        assert html_text.Page(f"<div id='{word}-results'><article><p>The words</article></div><p>Other").text() == "The words"
+    assert html_text.Page(f"<div id='{word}'>Other</div>").text() == ""
+
+
+def test_comments_and_teasers_beside_an_article_stay_out(spark):
+    frame = (
+        "<body><article><h1>Story {0}</h1><p>Words {0}</p><article class=comment><p>I like {0}</p></article></article>"
+        "<div class=recommended><p>Teaser {1}</p></div><div id=comments><article><p>Nice {0}</p></article></div>"
+    )
+    texts = texts_of(spark, [frame.format(k, 7 * k) for k in range(12)])
+    assert texts == [f"Story {k}\n\nWords {k}" for k in range(12)]
+
+
+def test_quoted_signs_in_tags():
+    page = """<article title="a > b"><p class='x > y' data-q="it's">One <a title="x > y" href=q>two</a> 1 < 2 <b title='>'>bold</b>"""
+    assert html_text.Page(page).text() == "One two 1 < 2 bold"
+    for broken in ('<p title="x>One</p>', "<p it's>One", '<p title=">One', '<p a="b"c="d>One', "<p = >One"):
+        assert "One" in html_text.Page("<article>" + broken + "</article>").text(), broken
+    assert html_text.Page("<p " + "a=\"" * 200_000).text() == ""
+
+
 # -- op6 -------------------------------------------------------------------------------------------------------
 
 
@@ -252,6 +287,17 @@ def test_measures(spark, sf):
         assert quality.measures(text)[0] == plain_measures(text)
 
 
+def test_repeated_rows_are_one_document(spark):
+    """An ingest that repeats rows changes no verdict."""
+    words = "some words of this very document that nobody else has written down so far and that are enough of them"
+    rows = [(k, "h", f"{words} {k}\n{k} another line") for k in range(10)]
+    schema = "doc_id int, source string, text string"
+    once = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(rows, schema)).collect()}
+    many = quality.judged(spark.createDataFrame(rows * 21 + rows[:1] * 500, schema)).collect()
+    assert len(many) == 710 and set(once.values()) == {True}
+    assert {(r.doc_id, r.kept, r.removed_words) for r in many} == {(k, True, 0) for k in range(10)}
+
+
 def test_frequent_lines_by_host(spark):
     body = " ".join(f"w{{0}}x{k}" for k in range(30))
     rows = [(k, "a", f"Shared Line of the host\n{body.format(k)}") for k in range(30)]
@@ -419,6 +465,25 @@ def test_near_copies_stand_for_one(spark):
     assert {1, 3, 4} <= kept and 5 not in kept
 
 
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    """Rows that share an id or a text, repeated rows, and null ids, against grouping by hand."""
+    words = {w: " ".join(f"{w}{k}" for k in range(300)) for w in ("w1", "w2", "w3", "w4")}
+    rows = [(1, "w1"), (1, "w1"), (1, "w1"), (2, "w2"), (2, "w3"), (1, "w3"), (None, "w2"), (None, "w4"), (None, "w4"), (3, None), (4, "")]
+    docs = spark.createDataFrame([(k, words.get(w, w), "x") for k, w in rows], "doc_id int, text string, digest string")
+    kept = [(row.doc_id, row.text) for row in simhash_dedup.deduplicated(docs).collect()]
+    expected = [(1, words["w1"]), (2, words["w2"]), (1, words["w3"]), (None, words["w4"]), (3, None)]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+
+
+def test_rows_of_an_id_are_judged_by_their_own_text(spark):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(1, "prose " + item), (1, "clean prose of another kind"), (None, item), (None, "clean"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    items = spark.createDataFrame([(1, item)], "item_id int, text string")
+    left = [tuple(row) for row in decontamination.decontaminated(docs, items).collect()]
+    assert sorted(left, key=str) == sorted([(1, "clean prose of another kind"), (None, "clean"), (2, None)], key=str)
+
+
 # -- op10 ------------------------------------------------------------------------------------------------------
 
 
