@@ -1,13 +1,15 @@
 """Texts into sequences of a fixed number of tokens: bin completion with best-fit solutions as incumbents.
 
-A text is its token ids and a closing id; only a longer one is cut, into full sequences and a rest. Pieces are dealt by a hash
-over shards of some thousand pieces; each shard is packed on its own, so that a task holds numbers for a bounded share. Of a
+A text is its token ids and a closing id; only a longer one is cut, into full sequences and a rest. Pieces are dealt by a number
+of their own, whatever their ids, over shards of some thousand pieces; each shard is packed on its own, so that a task holds numbers for a bounded share. Of a
 shard, no more than its last sequence can be left partly filled for want of pieces.
 
 Bin completion packs around the largest piece left. For it, fillings are enumerated that are undominated (no left-over piece
 could replace a smaller one in them and still fit), fullest first. Branch and bound stops a branch once the waste of
 its closed sequences exceeds what a better solution than the incumbent could afford; ``effort`` bounds the nodes of
-a search, after which the incumbent stands. The first incumbent is best-fit decreasing.
+a search, after which the incumbent stands, and ``width`` the steps of enumerating the fillings of one branch, which ends
+at the first filling without waste. The first incumbent is best-fit decreasing; where it is as good as the lower bound, nothing is
+searched.
 
 A null text is an empty one: a single piece that holds the closing id. Repeated rows are packed each.
 """
@@ -18,7 +20,7 @@ import os
 import zlib
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from unicodedata import is_normalized
 
 import numpy as np
@@ -34,7 +36,9 @@ CAPACITY = 2048
 CLOSING_ID = 0
 SHARD_PIECES = 4096
 EFFORT = 4000
-MOST_CACHED = 250_000
+WIDTH = 200
+MOST_CACHED = 500_000
+SLICE_ROWS = 256
 TRAILING = ".,;:!?|#$%&*"
 
 
@@ -82,10 +86,10 @@ class WordIds:
                 data = ids.tobytes()
                 yield from zip(group, [data[start:end] for start, end in zip([0, *ends], ends)])
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: Iterable[str]) -> None:
         young, old = self.young, self.old
         plain, composed = [], []
-        for word in dict.fromkeys(words):
+        for word in words:
             found = old.get(word)
             if found is not None:
                 young[word] = found
@@ -113,18 +117,33 @@ class WordIds:
             young[word] = young[unit] + young[tail]
 
     def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text:
-            return self.direct(text)
+        return self.of_many([text])[0]
+
+    def of_many(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text; words that none of them has been seen with are learnt in one go."""
         if len(self.young) > self.most:
             self.young, self.old = {"": b""}, self.young
-        words = text.replace("\n", " ").split(" ")
-        young = self.young
-        unknown = [word for word in words if word not in young]
-        if unknown:
-            self._learn(unknown)
-        return b"".join(map(young.__getitem__, words))
+        known = self.young.get
+        out: list[bytes] = [b""] * len(texts)
+        open_: list[tuple[int, list[str], list[bytes | None]]] = []
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            if "<|" in text:
+                out[k] = self.direct(text)
+                continue
+            words = text.replace("\n", " ").split(" ")
+            found = list(map(known, words))
+            if None in found:
+                open_.append((k, words, found))
+            else:
+                out[k] = b"".join(found)
+        if open_:
+            self._learn({word for _, words, found in open_ for word, ids in zip(words, found) if ids is None})
+            young = self.young
+            for k, words, found in open_:
+                out[k] = b"".join([young[word] if ids is None else ids for word, ids in zip(words, found)])
+        return out
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
@@ -138,8 +157,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         closing = CLOSING_ID.to_bytes(4, "little")
         for batch in batches:
             row, piece, length, crc = [], [], [], []
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                ids = words.of(text) + closing
+            texts = batch.column(1).to_pylist()
+            encoded = (ids for at in range(0, len(texts), SLICE_ROWS) for ids in words.of_many(texts[at : at + SLICE_ROWS]))
+            for k, ids in enumerate(encoded):
+                ids += closing
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row.append(k)
@@ -240,7 +261,9 @@ def fillings(stock: Counter, sizes: list[int], room: int, most_waste: int, width
     return [chosen for _, chosen in found]
 
 
-def bin_completion(lengths: list[int], capacity: int = CAPACITY, effort: int = EFFORT) -> list[list[int]]:
+def bin_completion(
+    lengths: list[int], capacity: int = CAPACITY, effort: int = EFFORT, width: int = WIDTH
+) -> list[list[int]]:
     """A packing into as few sequences as the search finds; never more than best-fit decreasing needs."""
     full = [[length] for length in lengths if length == capacity]
     rest = [length for length in lengths if length < capacity]
@@ -259,7 +282,7 @@ def bin_completion(lengths: list[int], capacity: int = CAPACITY, effort: int = E
         allowed = (len(incumbent) - 1) * capacity - total - waste
         stock[largest] -= 1
         sizes = [size for size in sizes if stock[size]]
-        options = fillings(stock, sizes, capacity - largest, allowed, 200)
+        options = fillings(stock, sizes, capacity - largest, allowed, width)
         stock[largest] += 1
         return iter([[largest, *chosen] for chosen in options])
 
@@ -290,7 +313,13 @@ def bin_completion(lengths: list[int], capacity: int = CAPACITY, effort: int = E
     return full + incumbent
 
 
-def packed(parts: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, effort: int = EFFORT) -> DataFrame:
+def packed(
+    parts: DataFrame,
+    capacity: int = CAPACITY,
+    shard_pieces: int = SHARD_PIECES,
+    effort: int = EFFORT,
+    width: int = WIDTH,
+) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``."""
     parts = checkpointed(parts)
     shards = max(1, parts.count() // shard_pieces)
@@ -301,7 +330,7 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD
         for row, length in enumerate(shard["length"]):
             waiting.setdefault(int(length), []).append(row)
         sequence, offset = [0] * len(shard), [0] * len(shard)
-        for number, lengths in enumerate(bin_completion([int(x) for x in shard["length"]], capacity, effort)):
+        for number, lengths in enumerate(bin_completion([int(x) for x in shard["length"]], capacity, effort, width)):
             at = 0
             for length in lengths:
                 row = waiting[length].pop()
@@ -311,7 +340,7 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD
 
     kind = parts.schema["doc_id"].dataType.simpleString()
     return (
-        parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+        parts.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(
             place,
