@@ -3,10 +3,10 @@
 Language model: letter trigrams (a-z, accented Latin letters, one class for other letters, one for boundaries) counted over every
 text. The alphabet bounds the table to 60^3 numbers, whatever the input; its counts grow with the input.
 
-Channel: a token that could be disguised (a sign within it that stands for a letter, a letter three times in a row, letters
-with signs or spaces between them) is a lattice: each sign is one of the letters it may stand for, a boundary, or nothing
-between letters; a repeated letter is written once or twice. The best path under the model and the channel is the restored text.
-Other tokens have a single path and stay.
+Channel: a token that could be disguised (letters beside signs, digits or their like, letters with spaces between them) is a
+lattice, whatever its length: each sign is one of the letters it may stand for, a boundary, or nothing between letters; a
+repeated letter is written once or twice. The best path under the model and the channel is the restored text. Other tokens, and signs
+around a token that stand for no letter, have a single path.
 
 Scorer: words and letter sequences of 4 to 6 of a bounded sample of labelled texts (``sample`` rows of labels, chosen by a hash of
 the id; folds 1 to 3 of 5) get shrunk log odds of toxic against clean texts. A text's evidence (its strongest, its three
@@ -36,7 +36,9 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
 SEPARATORS = ".-_*~ "
-SUBSTITUTED, KEPT, DROPPED, REPEATED = -2.0, -0.7, -1.0, -0.5
+# What hides a letter without saying which, mostly a vowel.
+HIDES, HIDDEN = "*#", "aeiou"
+SUBSTITUTED, KEPT, KEPT_DIGIT, DROPPED, REPEATED, DOUBLED, VEILED = -2.0, -0.7, -3.0, -1.0, -0.5, -2.0, -1.5
 
 SAMPLE = 20_000
 MOST_FEATURES = 50_000
@@ -51,10 +53,10 @@ for _code in range(0x80, 0x110000):
 for _k, _letter in enumerate(LETTERS, 1):
     _CODES[ord(_letter)] = _k
 
-DISGUISED = re.compile(
-    r"[^\W\d_][0134567890@$!|+€£]+[^\W\d_]|^[0134567@$!|+€£][^\W\d_]{2}|[^\W\d_]{2}[013457@$!|€£]$|([^\W\d_])\1\1|^[^\W\d_](?:[.\-_*~][^\W\d_])+$"
-)
-DECORATION = re.compile(r"^[^\w@$]+|[.,;:?]+$|([^\w\s])\1+$")
+# A letter, and a sign, a digit or a letter twice in a row.
+DISGUISED = re.compile(r"[^\W\d_]\W|\W[^\W\d_]|[^\W\d_][\d_]|[\d_][^\W\d_]|([^\W\d_])\1")
+# Signs at the ends of a token that stand for no letter.
+EDGES = "".join(sign for sign in map(chr, range(0x21, 0x7F)) if not sign.isalnum() and sign not in "@$!|+*_-~") + "«»„“”‘’¿¡…–—"
 NOT_LETTER = re.compile(r"[\W\d_]+")
 
 
@@ -96,8 +98,11 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log((cube + 5 * single) / (cube.sum(axis=2, keepdims=True) + 5)).astype(np.float32)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Per stretch of the token, what may have been written there and the channel's log probability."""
+def lattice(token: str, veiled: bool = False) -> list[list[tuple[str, float]]]:
+    """Per stretch of the token, what may have been written there and the channel's log probability.
+
+    With ``veiled``, signs that hide a letter stand for one and not for nothing.
+    """
     steps: list[list[tuple[str, float]]] = []
     k = 0
     while k < len(token):
@@ -107,12 +112,18 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             run += 1
         times = run - k
         if sign.isalpha():
-            if times <= 2:
-                steps += [[(sign, 0.0)]] * times
+            if times == 1:
+                steps.append([(sign, 0.0)])
+            elif times == 2:
+                steps.append([(sign * 2, 0.0), (sign, DOUBLED)])
             else:
                 steps.append([(sign, REPEATED), (sign * 2, 2 * REPEATED)])
         else:
-            options = [(" ", KEPT)]
+            if veiled and sign in HIDES:
+                steps += [[(letter, VEILED) for letter in HIDDEN]] * times
+                k = run
+                continue
+            options = [(" ", KEPT_DIGIT if sign.isdigit() else KEPT)]
             options += [(letter, SUBSTITUTED) for letter in STANDS_FOR.get(sign, "")]
             if times > 1:
                 options += [(letter * 2, 1.5 * SUBSTITUTED) for letter in STANDS_FOR.get(sign, "")]
@@ -123,13 +134,13 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return steps
 
 
-def decoded(token: str, model: np.ndarray) -> str:
-    """The best path of the token's lattice."""
+def decoded(token: str, model: np.ndarray, veiled: bool = False) -> str:
+    """The best path of the token's lattice, whatever its length: each state keeps its best path as a chain."""
     code = lambda sign: int(_CODES[ord(sign)])
-    paths: dict[tuple[int, int], tuple[float, str]] = {(BOUNDARY, BOUNDARY): (0.0, "")}
-    for options in [*lattice(token), [(" ", 0.0)]]:
-        ahead: dict[tuple[int, int], tuple[float, str]] = {}
-        for (first, second), (score, text) in paths.items():
+    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(BOUNDARY, BOUNDARY): (0.0, None)}
+    for options in [*lattice(token, veiled), [(" ", 0.0)]]:
+        ahead: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (first, second), (score, chain) in paths.items():
             for written, channel in options:
                 a, b, total = first, second, score + channel
                 for sign in written:
@@ -138,10 +149,15 @@ def decoded(token: str, model: np.ndarray) -> str:
                         continue
                     total += float(model[a, b, c])
                     a, b = b, c
-                if total > ahead.get((a, b), (-np.inf, ""))[0]:
-                    ahead[a, b] = (total, text + written)
+                if (a, b) not in ahead or total > ahead[a, b][0]:
+                    ahead[a, b] = (total, (chain, written))
         paths = ahead
-    return max(paths.values())[1].strip()
+    chain = max(paths.values(), key=lambda path: path[0])[1]
+    parts = []
+    while chain is not None:
+        chain, written = chain
+        parts.append(written)
+    return "".join(reversed(parts)).strip()
 
 
 def grams(word: str) -> list[str]:
@@ -164,8 +180,8 @@ class Evidence(dict):
         self.values_of = np.zeros(1024, dtype=np.float32)
 
     def restored(self, token: str) -> str:
-        core = DECORATION.sub("", token)
-        return decoded(core, self.letters) if DISGUISED.search(core) and len(core) < 64 else core
+        core = token.strip(EDGES)
+        return decoded(core, self.letters) if DISGUISED.search(core) else core
 
     def weigh(self, text: str) -> float:
         get = self.odds.get
@@ -173,7 +189,7 @@ class Evidence(dict):
         for word in NOT_LETTER.split(text):
             if len(word) >= 2:
                 best = max(best, get("=" + word, 0.0))
-                for gram in grams(word) if len(word) < 40 else ():
+                for gram in grams(word):
                     found = get(gram)
                     if found is not None and found > best:
                         best = found
@@ -183,7 +199,14 @@ class Evidence(dict):
         row = len(self)
         if row == len(self.values_of):
             self.values_of = np.concatenate([self.values_of, np.zeros_like(self.values_of)])
-        self.values_of[row] = self.weigh(self.restored(token))
+        core, restored = token.strip(EDGES), self.restored(token)
+        weight = self.weigh(restored)
+        if restored != core:
+            # What is written plainly counts as it stands, too.
+            weight = max(weight, self.weigh(core))
+            if any(sign in core for sign in HIDES):
+                weight = max(weight, self.weigh(decoded(core, self.letters, veiled=True)))
+        self.values_of[row] = weight
         self[token] = row
         return row
 
@@ -199,9 +222,9 @@ class Evidence(dict):
         start = 0
         for k in range(1, len(singles) + 1):
             if k == len(singles) or singles[k] != singles[k - 1] + 1:
-                if k - start >= 4:
+                if k - start >= 2:
                     spaced = " ".join(words[singles[start] : singles[k - 1] + 1])
-                    rows += [self[decoded(spaced[at : at + 120], self.letters)] for at in range(0, len(spaced), 120)]
+                    rows += [self[word] for word in decoded(spaced, self.letters).split()]
                 start = k
         found = self.values_of[rows]
         strong = np.unique(np.array(rows)[found >= LEAST_EVIDENCE])
@@ -275,7 +298,7 @@ def _odds(labelled: DataFrame) -> dict[str, float]:
     word = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word")
     words = (
         labelled.select(word, (F.col("toxic") == 1).cast("long").alias("toxic"))
-        .where((F.length("word") >= 2) & (F.length("word") < 40))
+        .where(F.length("word") >= 2)
         .groupBy("word")
         .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     )

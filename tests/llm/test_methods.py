@@ -72,6 +72,23 @@ def test_disguise_is_undone():
     assert cache.of("perfectly fine words 42.10 a+b")[0] == 0.0
 
 
+@pytest.mark.parametrize(
+    "token",
+    ["i.d.1.0.t", "i.d.i.o.t!", '"i.d.i.o.t"', "(i-d-i-o-t)", "st.up.id", "id-iot", "id*ot", "s_t_u_p_i_d_", "iiddiioott", "stuuuupid",
+     "$tup!d", "st*p!d", "." .join("idiot"), "x" * 70 + ".i.d.i.o.t", "good-" * 40 + "id10t"],
+)
+def test_common_disguises_are_undone(spark, sf, token):
+    if not DISGUISES:
+        words = "idiot stupid " * 300
+        counts = toxicity.trigrams(documents(spark, sf).select("text"))
+        DISGUISES.append(toxicity.log_model(counts + np.bincount(toxicity.trigram_codes(f"  {words}  "), minlength=toxicity.SYMBOLS**3)))
+    cache = toxicity.Evidence(DISGUISES[0], {"=idiot": 8.0, "=stupid": 8.0, "idiot": 8.0})
+    assert cache.of(f"well {token} there")[0] == 8.0
+
+
+DISGUISES: list = []
+
+
 def test_toxicity_ranks_held_out_documents(spark, sf):
     rows = registry.op2_toxicity(spark, "/root/testdata/sf0.01").collect()
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
@@ -137,6 +154,13 @@ def test_bin_completion_is_least_on_small_cases():
     assert len(packing.bin_completion(hard, 10)) == fewest(hard, 10)
 
 
+def test_pieces_without_ids_are_dealt_over_shards(spark):
+    docs = spark.createDataFrame([(None, "some words here " * (k % 9)) for k in range(300)], "doc_id int, text string")
+    parts = packing.pieces(docs)
+    rows = packing.packed(parts, shard_pieces=30).collect()
+    assert len(rows) == 300 and len({row.sequence_id >> 32 for row in rows}) > 5
+
+
 # -- op4 -------------------------------------------------------------------------------------------------------
 
 RULES = {
