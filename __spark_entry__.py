@@ -17,7 +17,8 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_queries  # noqa: E402
 from fillmetrics import FillAnalytics  # noqa: E402
 from fillmetrics import adapters as ad  # noqa: E402
-from fillmetrics.operators import activity, cohorts, inventory, journeys, marts, normalize, quality, sketches  # noqa: E402
+from fillmetrics.operators import activity, bounded, cohorts, inventory, journeys, marts, normalize, quality  # noqa: E402
+from fillmetrics.operators import reconcile, rescue, sketches  # noqa: E402
 from fillmetrics.schema import NODE_FILLS, NODE_FILLS_BY_BLOCK, NODE_TRADES  # noqa: E402
 from fillmetrics.sources.raw import count_lines  # noqa: E402
 from fillmetrics.sources.snapshots import PublishedTable  # noqa: E402
@@ -250,6 +251,76 @@ def _ledger_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.join(listed, ["dataset", "date"], "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
 
 
+def _reconciled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Expected fills, and a store in which some were swapped, some doubled and as many lost."""
+    expected = _normalized(spark, sf_dir)
+    last = F.col("oid") % 100
+    doubled = (last == 7) & (F.col("date") < F.lit(REWRITTEN[0]))
+    lost = (last == 9) & (F.col("date") < F.lit(REWRITTEN[0]))
+    swapped = (last == 11) & F.col("date").isin(KILLED)
+    stored = (
+        expected.where(~F.coalesce(lost, F.lit(False)))
+        .withColumn("user_address", F.when(swapped, F.concat("user_address", F.lit("x"))).otherwise(F.col("user_address")))
+        .withColumn("copy", F.explode(F.when(doubled, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+        .drop("copy")
+    )
+    return expected, stored
+
+
+def _content_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expected, stored = _reconciled(spark, sf_dir)
+    checked = reconcile.content_check(expected, stored)
+    found = reconcile.differing_rows(expected, stored, checked)
+    return found.select("dataset_source", "date", "oid", "user_address", "px", "missing")
+
+
+def _top_users_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = _event_metrics(spark, sf_dir)
+    leaders = bounded.daily_leaders(metrics.user_daily_volume, PROOF_LEADERS)
+    return bounded.bounded_reading(leaders, metrics.daily_user_volume, PROOF_LIMIT, *PROOF_RANGE)
+
+
+def _top_users_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = _event_metrics(spark, sf_dir)
+    leaders = bounded.daily_leaders(metrics.user_daily_volume, PROOF_LEADERS)
+    return bounded.bounded_top_users(leaders, metrics.daily_user_volume, PROOF_LIMIT, *PROOF_RANGE)
+
+
+PROOF_LEADERS, PROOF_LIMIT, PROOF_RANGE = 50, 5, ("2024-01-05", "2024-01-06")
+REACHED = [100, 250, 1000]
+
+
+def _sketch_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users reaching thresholds, exact and whether the quantile sketches are within their rank error (one user at least)."""
+    totals = _event_metrics(spark, sf_dir).user_daily_volume
+    close = sketches.users_reaching(sketches.volume_sketches(totals), REACHED).withColumnRenamed("user_count", "estimate")
+    reaching = [F.count(F.when(F.col("daily_volume") >= limit, F.lit(1))) for limit in REACHED]
+    pairs = F.array(*[F.struct(F.lit(float(limit)).alias("threshold"), n.alias("user_count")) for limit, n in zip(REACHED, reaching)])
+    exact = totals.groupBy("date").agg(pairs.alias("pairs")).select("date", F.inline("pairs"))
+    bound = F.greatest(F.lit(1.0), 2 * sketches.RANK_ERROR * F.col("users"))
+    return exact.join(close, ["date", "threshold"], "left").select(
+        "date", "threshold", "user_count", (F.abs(F.col("estimate") - F.col("user_count")) <= bound).alias("within")
+    )
+
+
+def _unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines of which some have fields that no schema names."""
+    raw = ad.raw_by_dataset(_events(spark, sf_dir))
+    added = {
+        NODE_TRADES: (r'"hash":"(\d*4)"', '"hash":"$1","venue":"v1"'),
+        NODE_FILLS: (r'"oid":(\d*3),', '"oid":$1,"liquidation":{"mark":"2.5"},'),
+        NODE_FILLS_BY_BLOCK: (r'"builder":"0xb"', '"builder":"0xb","builderTier":2'),
+    }
+    found = None
+    for dataset, lines in raw.items():
+        lines = lines.withColumn("value", F.regexp_replace("value", *added[dataset]))
+        if dataset == NODE_FILLS_BY_BLOCK:
+            lines = lines.withColumn("value", F.regexp_replace("value", r'^\{', '{"height":1,'))
+        counted = rescue.unknown_fields(lines, dataset)
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
 LISTED = (datetime(2024, 1, 6, 12), datetime(2024, 1, 8, 12))
 
 
@@ -355,7 +426,10 @@ def _core_queries() -> dict[str, Query]:
         "sketch_mau": _sketch_mau,
         "sketch_traders": _sketch_traders,
         "sketch_range": _sketch_range,
+        "sketch_buckets": _sketch_buckets,
         # users, assets, summaries
+        "top_users_bounded": _top_users_bounded,
+        "top_users_proof": _top_users_proof,
         "top_users": _on_lines(lambda m: m.get_top_users_by_volume()),
         "top_users_range": _on_events(lambda m: m.get_top_users_by_volume(20, "2024-01-05", "2024-01-20")),
         "coin_statistics": _on_events(lambda m: m.get_coin_statistics()),
@@ -365,6 +439,9 @@ def _core_queries() -> dict[str, Query]:
         "data_summary": _on_events(lambda m: m.data_summary()),
         "summary_report": _on_lines(lambda m: m.get_summary_report()),
         # checks
+        "content_check": lambda spark, sf_dir: reconcile.content_check(*_reconciled(spark, sf_dir)),
+        "content_differences": _content_differences,
+        "unknown_fields": _unknown_fields,
         "raw_counts": _raw_counts,
         "processed_counts": lambda spark, sf_dir: quality.processed_counts(_normalized(spark, sf_dir)),
         "count_check": _count_check,

@@ -87,3 +87,41 @@ def within_bound(
     """
     share = tolerance / math.sqrt((1 << log_entries) - 1)
     return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), F.lit(share) * (exact if of is None else of))
+
+
+# -- volumes -------------------------------------------------------------------------------------------------------
+
+# Entries of a quantile sketch, and its normalised rank error (99 % confidence) at that number.
+QUANTILE_ENTRIES = 1000
+RANK_ERROR = 0.0035
+
+
+def volume_sketches(totals: DataFrame, entries: int = QUANTILE_ENTRIES) -> DataFrame:
+    """``date, users, volumes`` (a quantile sketch of user-day totals): bucket counts for thresholds named later."""
+    return totals.groupBy("date").agg(
+        F.count(F.lit(1)).alias("users"), F.kll_sketch_agg_double(F.col("daily_volume").cast("double"), entries).alias("volumes")
+    )
+
+
+def users_reaching(sketches: DataFrame, thresholds: Iterable[float]) -> DataFrame:
+    """``date, threshold, users, user_count``: estimated users at or above each threshold, from the sketches alone."""
+
+    def reaching(limit: float) -> Column:
+        # The rank counts what is at or below a value, so it is asked for just below the threshold.
+        rank = F.kll_sketch_get_rank_double("volumes", F.lit(math.nextafter(limit, -math.inf)))
+        count = F.round(F.col("users") * (1 - rank)).cast("bigint")
+        return F.struct(F.lit(float(limit)).alias("threshold"), count.alias("user_count"))
+
+    return sketches.select("date", "users", F.inline(F.array(*map(reaching, thresholds)))).select(
+        "date", "threshold", "users", "user_count"
+    )
+
+
+def volume_quantiles(sketches: DataFrame, ranks: Iterable[float], start=None, end=None) -> DataFrame:
+    """``rank, volume`` over any range of dates, from merged sketches."""
+    merged = in_dates(sketches, start, end).agg(F.kll_merge_agg_double("volumes").alias("volumes"))
+    found = [
+        F.struct(F.lit(float(rank)).alias("rank"), F.kll_sketch_get_quantile_double("volumes", F.lit(float(rank))).alias("volume"))
+        for rank in ranks
+    ]
+    return merged.select(F.inline(F.array(*found)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import cached_property
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from fillmetrics.functions.buckets import CUMULATIVE, DAILY_BUCKETS, HORIZONS, USER_BUCKETS
 from fillmetrics.functions.filters import as_list, in_dates
 from fillmetrics.functions.values import to_double
-from fillmetrics.operators import activity, assets, cohorts, marts, reports, sketches
+from fillmetrics.operators import activity, assets, bounded, cohorts, marts, reports, sketches
 from fillmetrics.plans import marts as stored
 from fillmetrics.schema import NUMERIC
 
@@ -61,6 +62,8 @@ class FillAnalytics:
         made.user_first_trade = marts.user_first_trade(fills)
         made.daily_metrics = marts.daily_metrics_from_activity(made.user_activity, fills)
         made.user_sketches = sketches.user_sketches(fills)
+        made.volume_sketches = sketches.volume_sketches(made.user_daily_volume)
+        made.daily_leaders = bounded.daily_leaders(made.user_daily_volume)
         return made
 
     def rebuild_database(self) -> None:
@@ -126,12 +129,25 @@ class FillAnalytics:
             return activity.new_users(self.user_first_trade)
         return self._whole(stored.NEW_USERS).orderBy("date")
 
+    def _sketch(self, name: str) -> DataFrame:
+        if not self._state.sketches:
+            raise ValueError("these marts have no sketches; build them with with_sketches=True")
+        return self._mart(name)
+
     @cached_property
     def user_sketches(self) -> DataFrame:
         """Distinct users as sketches per date, coin and side."""
-        if self.mart_dir is not None and not self._state.sketches:
-            raise ValueError("these marts have no sketches; build them with with_sketches=True")
-        return self._mart(stored.SKETCHES)
+        return self._sketch(stored.SKETCHES)
+
+    @cached_property
+    def volume_sketches(self) -> DataFrame:
+        """User-day volumes as a quantile sketch per date."""
+        return self._sketch(stored.VOLUME_SKETCHES)
+
+    @cached_property
+    def daily_leaders(self) -> DataFrame:
+        """The first users of each date by volume."""
+        return self._sketch(stored.LEADERS)
 
     def user_totals(self, coins: Coins = None) -> DataFrame:
         """User-day totals: the stored table for all coins, an aggregate for a selection."""
@@ -193,6 +209,10 @@ class FillAnalytics:
     ) -> DataFrame:
         return cohorts.cumulative_thresholds(self.user_totals(coins), thresholds)
 
+    def get_users_reaching(self, thresholds: Sequence[float]) -> DataFrame:
+        """Estimated users per day at or above any thresholds, from one sketch per day."""
+        return sketches.users_reaching(self.volume_sketches, thresholds)
+
     def get_threshold_averages(self, thresholds: Sequence[float] = CUMULATIVE, coins: Coins = None) -> DataFrame:
         return cohorts.threshold_averages(self.get_cumulative_thresholds(thresholds, coins))
 
@@ -235,6 +255,10 @@ class FillAnalytics:
     def get_top_users_by_volume(self, limit: int = 100, start_date=None, end_date=None) -> DataFrame:
         return assets.top_users(self.daily_user_volume, limit, start_date, end_date)
 
+    def get_top_users_bounded(self, limit: int = 100, start_date=None, end_date=None) -> DataFrame:
+        """The same, summing only users that the daily leaders leave in question."""
+        return bounded.bounded_top_users(self.daily_leaders, self.daily_user_volume, limit, start_date, end_date)
+
     def get_coin_statistics(self, start_date=None, end_date=None) -> DataFrame:
         return assets.coin_statistics(self.daily_user_volume, start_date, end_date)
 
@@ -260,17 +284,36 @@ class FillAnalytics:
     def get_summary_report(self) -> DataFrame:
         return reports.summary_report(self.user_activity, self.daily_metrics, self.get_daily_new_users())
 
-    def register_views(self) -> None:
-        """Temp views ``fills``, ``daily_user_volume``, ``user_first_trade`` and ``daily_metrics``, amounts as double."""
-        def view(df: DataFrame, name: str, *amounts: str) -> None:
-            df.withColumns({amount: to_double(F.col(amount)) for amount in amounts}).createOrReplaceTempView(name)
+    def _views(self) -> dict[str, DataFrame]:
+        """The tables that SQL may name, amounts as double."""
+
+        def view(df: DataFrame, *amounts: str) -> DataFrame:
+            return df.withColumns({amount: to_double(F.col(amount)) for amount in amounts}) if amounts else df
+
+        return {
+            "fills": view(self.fills, "px", "sz", "closed_pnl", "fee"),
+            "daily_user_volume": view(self.daily_user_volume, "daily_volume"),
+            "daily_metrics": view(self.daily_metrics, "total_volume"),
+            "user_first_trade": self.user_first_trade,
+        }
 
-        view(self.fills, "fills", "px", "sz", "closed_pnl", "fee")
-        view(self.daily_user_volume, "daily_user_volume", "daily_volume")
-        view(self.daily_metrics, "daily_metrics", "total_volume")
-        self.user_first_trade.createOrReplaceTempView("user_first_trade")
+    def register_views(self, prefix: str = "") -> None:
+        """Temp views ``fills``, ``daily_user_volume``, ``user_first_trade`` and ``daily_metrics`` of the session."""
+        for name, df in self._views().items():
+            df.createOrReplaceTempView(prefix + name)
 
     def execute_custom_query(self, query: str) -> DataFrame:
-        """Spark SQL over the registered views."""
-        self.register_views()
-        return self.spark.sql(query)
+        """A SELECT in Spark SQL over this object's own tables, whatever other objects the session has.
+
+        The names are bound within the statement; a table that it does not name is not read.
+        """
+        prefix = f"fillmetrics_{uuid.uuid4().hex}_"
+        names = list(self._views())
+        self.register_views(prefix)
+        try:
+            bound = ", ".join(f"{name} AS (SELECT * FROM {prefix}{name})" for name in names)
+            return self.spark.sql(f"WITH {bound} SELECT * FROM (\n{query.strip().rstrip(';')}\n)")
+        finally:
+            # What was analysed needs the views no longer.
+            for name in names:
+                self.spark.catalog.dropTempView(prefix + name)

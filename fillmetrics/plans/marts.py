@@ -1,7 +1,7 @@
 """Building and refreshing the stored summaries, published together.
 
 Layout below the mart root: ``fills`` (typed), ``user_activity``, ``user_daily_volume`` and, if asked for, ``daily_user_volume`` (several
-sides) and ``user_sketches`` are kept by date, each run in folders of its own; ``user_first_trade``, ``daily_metrics``,
+sides), ``user_sketches``, ``volume_sketches`` and ``daily_leaders`` are kept by date, each run in folders of its own; ``user_first_trade``, ``daily_metrics``,
 ``daily_new_users``, ``user_journeys`` and ``bucket_steps`` are whole tables, a new folder per run.
 
 ``state`` is written last, as one small file. It holds the settings, for each date the run that holds it and the fills file
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fillmetrics.functions.buckets import USER_BUCKETS
 from fillmetrics.operators import activity as users
-from fillmetrics.operators import cohorts, journeys, marts, normalize, sketches
+from fillmetrics.operators import bounded, cohorts, journeys, marts, normalize, sketches
 from fillmetrics.schema import NORMALIZED_PARTITIONED, NUMERIC
 from fillmetrics.session import sized_shuffles
 from fillmetrics.sources.folders import remove, subfolders
@@ -34,12 +34,14 @@ ACTIVITY = "user_activity"
 VOLUMES = "daily_user_volume"
 TOTALS = "user_daily_volume"
 SKETCHES = "user_sketches"
+VOLUME_SKETCHES = "volume_sketches"
+LEADERS = "daily_leaders"
 METRICS = "daily_metrics"
 FIRST_TRADES = "user_first_trade"
 NEW_USERS = "daily_new_users"
 JOURNEYS = "user_journeys"
 STEPS = "bucket_steps"
-DATED = (FILLS, ACTIVITY, VOLUMES, TOTALS, SKETCHES)
+DATED = (FILLS, ACTIVITY, VOLUMES, TOTALS, SKETCHES, VOLUME_SKETCHES, LEADERS)
 WHOLE = (METRICS, FIRST_TRADES, NEW_USERS, JOURNEYS, STEPS)
 TABLES = (FILLS, ACTIVITY, VOLUMES, TOTALS, METRICS, FIRST_TRADES)
 
@@ -142,7 +144,8 @@ def build_marts(
     Other ``sides`` or ``numeric`` than those of existing marts raise before anything is written. First trades and
     journeys are merged; only users whose stored row rests on a rewritten date are looked up in the whole history, and none
     if ``append_only`` promises that ``days`` only add fills. ``thresholds`` are those of the stored journeys and steps.
-    ``with_sketches`` adds distinct users as sketches per date, coin and side; a refresh keeps what there is.
+    ``with_sketches`` adds distinct users as sketches per date, coin and side, volumes as sketches per date, and the leaders of
+    each date; a refresh keeps what there is.
     """
     sides = _sides(sides)
     before = read_state(spark, root) if days is not None else None
@@ -200,6 +203,9 @@ def build_marts(
             if len(sides) > 1:
                 volumes = store(volumes, VOLUMES, "coin")
             totals = store(marts.user_daily_volume(volumes), TOTALS)
+            if state.sketches:
+                store(sketches.volume_sketches(totals), VOLUME_SKETCHES)
+                store(bounded.daily_leaders(totals), LEADERS, "place")
             steps_of_days = [] if days is None else days
             if before is None:
                 states, steps = journeys.journeys(totals, thresholds), cohorts.steps(totals, thresholds)

@@ -84,8 +84,9 @@ RAW_BLOCK = "block_number string, block_time string, local_time string, events a
 
 REQUIRED = ("coin", "px", "sz", "side", "time", "hash", "user_address")
 
-# Types of the query columns unless one type is asked for. px * sz is DECIMAL(38,20), whose sums keep 18 integer digits and
-# do not depend on the order in which partial sums arrive, so a re-run after an executor loss gives the same digits. A
-# value with more digits than its type is refused, not rounded.
+# Types of the query columns unless one type is asked for. Prices have room for twelve integer digits and fourteen others. px * sz is
+# DECIMAL(38,14): the volume of a fill is rounded there, once, and sums of volumes keep 24 integer digits and do not depend on the
+# order in which partial sums arrive, so a re-run after an executor loss gives the same digits. A value with more digits
+# than its type is refused, not rounded.
 NUMERIC = "exact"
-EXACT_TYPES = {"px": "decimal(20,14)", "sz": "decimal(17,6)", "closed_pnl": "decimal(38,18)", "fee": "decimal(38,18)"}
+EXACT_TYPES = {"px": "decimal(26,14)", "sz": "decimal(17,6)", "closed_pnl": "decimal(38,18)", "fee": "decimal(38,18)"}

@@ -94,7 +94,7 @@ def test_other_settings_are_refused_or_rebuilt(spark, folder, conf):
 
 def test_stored_fills_are_typed_and_filtered_in_the_scan(spark, conf):
     fills = FillAnalytics(spark, conf.fills_path, conf.mart_root).fills
-    assert dict(fills.dtypes)["px"] == "decimal(20,14)"
+    assert dict(fills.dtypes)["px"] == "decimal(26,14)"
     plan = fills.where(F.col("px") > 5)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(px" in plan
 
@@ -129,6 +129,7 @@ def test_a_quoted_number_is_read(spark):
 
 @pytest.mark.parametrize("px,sz,fits", [
     ("0.00000123456789", "20000000000", True), ("0.100000000000000", "1.50000000", True), ("1e-3", "2E3", True),
+    ("1000000", "1", True), ("999999999999.5", "3", True), ("1000000000000", "1", False),
     ("0.000000000000001", "1", False), ("1", "0.0000001", False), ("1", "200000000000", False), ("x", "1", False),
 ])
 def test_no_digit_is_lost(spark, px, sz, fits):
