@@ -45,6 +45,42 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
+def _sums(values: Column, start: Column) -> Column:
+    """The running sums of a short array, copied once per element."""
+    return F.aggregate(
+        values,
+        F.array().cast("array<int>"),
+        lambda so_far, value: F.concat(so_far, F.array(F.coalesce(F.try_element_at(so_far, F.lit(-1)), start) + value)),
+    )
+
+
+def _running(values: Column) -> Column:
+    """Running sums of an array of any length: within blocks of about its square root, and over these."""
+    # One-element arrays keep what follows from being worked out once per use.
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values))).cast("int"))
+    blocks = lambda held: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(held["v"])), held["s"]), lambda at: F.slice(held["v"], at, held["s"])
+    )
+    summed = F.transform(F.array(F.struct(values.alias("v"), size.alias("s"))), lambda held: F.struct(blocks(held).alias("b")))
+    placed = F.transform(
+        summed,
+        lambda held: F.struct(
+            held["b"].alias("b"),
+            _sums(F.transform(held["b"], lambda block: F.aggregate(block, F.lit(0), lambda a, b: a + b)), F.lit(0)).alias("e"),
+        ),
+    )
+    return F.flatten(
+        F.transform(
+            placed,
+            lambda held: F.flatten(
+                F.transform(
+                    held["b"], lambda block, k: _sums(block, F.when(k == 0, F.lit(0)).otherwise(F.element_at(held["e"], F.greatest(k, F.lit(1)))))
+                )
+            ),
+        )
+    )
+
+
 def _found(text: Column, kind: str, place: int) -> Column:
     """start, place, end, kind of each long enough match of a kind."""
     pattern, group, least = RULES[kind]
@@ -57,11 +93,7 @@ def _found(text: Column, kind: str, place: int) -> Column:
     pieces = F.regexp_extract_all(text, F.lit(steps), F.lit(0))
     matches = F.regexp_extract_all(text, F.lit(steps), F.lit(1))
     judged = F.regexp_extract_all(text, F.lit(steps), F.lit(counted)) if group else matches
-    ends = F.aggregate(
-        pieces,
-        F.array().cast("array<int>"),
-        lambda so_far, piece: F.concat(so_far, F.array(F.coalesce(F.try_element_at(so_far, F.lit(-1)), F.lit(0)) + F.length(piece))),
-    )
+    ends = _running(F.transform(pieces, F.length))
     rows = F.transform(
         F.arrays_zip(ends.alias("end"), matches.alias("match"), judged.alias("judged")),
         lambda row: F.struct(
