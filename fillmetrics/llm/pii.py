@@ -1,14 +1,17 @@
-"""Personal data by patterns and a skip-chain conditional random field over the tokens that could be personal data.
+"""Personal data by patterns and a skip-chain conditional random field over what could be personal data.
 
 Base spans are what the four patterns find, as they stand. The field adds spans where label consistency asks for them. Its nodes
-are the tokens of a document that hold a digit or an ``@``; tokens without either are O for certain and need no node. Unary
-potentials come from features of the token and the word before it, chain potentials link neighbouring nodes. Skip edges
-join tokens with equal text or equal digits to their previous occurrence, wherever that is, and share evidence: both
-ends prefer one label. Tokens inside base spans are clamped to their kind. Sum-product messages run over all edges
-until they settle; a free token whose best label is not O with ``CERTAIN`` probability becomes a span.
-
-Unary and chain weights are log counts over a bounded sample of documents (``sample`` texts, chosen by a hash of the id), labelled
-by the patterns. Null and empty texts have no spans. A repeated or null ``doc_id`` changes nothing: rows are independent.
+are the base spans of a document, mentions that are similar to one of them, and the other tokens that hold a digit or an ``@``;
+tokens without either are O for certain and need no node. Similar is a number of the same digits in another spelling, or without the
+up to three digits of its country but seven at least, and an address with words for its signs. Unary potentials come from features
+of the node and the word before it, chain potentials link neighbouring nodes. Skip edges join each node to the one before it, at any
+distance, that is equal or similar to it. Base spans are clamped to their kind. Sum-product messages run over all edges until they
+settle; a free node becomes a span if it is similar to a base span and has that label with ``CERTAIN`` probability. Short
+numbers are similar to nothing, so parts of a number (a country code, the end of a card) do not spread.
+
+All weights are log ratios of counts over a bounded sample of documents (``sample`` texts, chosen by a hash of the id), labelled by the
+patterns: how often a feature comes with a label, labels follow each other, and equal nodes share a label. Null and empty
+texts have no spans. A repeated or null ``doc_id`` changes nothing: rows are independent.
 """
 
 from __future__ import annotations
@@ -40,10 +43,20 @@ MARK = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"\S+")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
-SKIP_STRENGTH = 2.5
+# Groups of digits that could be one number, and an address with words for its signs.
+NUMBER = re.compile(r"[0-9]+(?:[\x20().\-/]{1,3}[0-9]+)*")
+GROUP = re.compile(r"[0-9]+")
+SPELT = re.compile(
+    r"([A-Za-z0-9._%+-]+)\x20?[\[({]\x20?(?:at|AT|@)\x20?[\])}]\x20?"
+    r"([A-Za-z0-9-]+(?:\x20?(?:[\[({]\x20?(?:dot|DOT)\x20?[\])}]|\.)\x20?[A-Za-z0-9-]+)+)"
+)
+SPELT_DOT = re.compile(r"\x20?(?:[\[({]\x20?(?:dot|DOT)\x20?[\])}]|\.)\x20?")
+
+DISTINCT_DIGITS = 7
+COUNTRY_DIGITS = 3
 CLAMP = 12.0
-CERTAIN = 0.8
-ROUNDS = 30
+CERTAIN = 0.5
+SETTLED = 1e-4
 SMOOTHING = 0.5
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -92,44 +105,127 @@ def base_spans(text: str) -> list[Span]:
 
 
 class Node:
-    __slots__ = ("start", "end", "text", "digits", "features", "label")
+    """``key`` is what similar nodes share; None where nothing is similar. ``label`` is that of the base span.
 
-    def __init__(self, start: int, end: int, text: str, before: str):
-        self.start, self.end, self.text = start, end, text
-        self.digits = NOT_DIGIT.sub("", text)
+    A mention shares the potentials of the spelling, ``shape``, that it is similar to; the word before it is its own.
+    """
+
+    __slots__ = ("start", "end", "text", "features", "label", "key")
+
+    def __init__(
+        self, start: int, end: int, text: str, before: str, label: int = OUTSIDE, key: str | None = None, shape: str | None = None
+    ):
+        self.start, self.end, self.text, self.label = start, end, text, label
+        text = shape or text
+        digits = NOT_DIGIT.sub("", text)
+        self.key = key or (text.lower() if "@" in text else digits if len(digits) >= DISTINCT_DIGITS else None)
         self.features = (
-            f"digits={min(len(self.digits), 20)}",
+            f"digits={min(len(digits), 20)}",
             f"at={'@' in text}",
             f"dots={min(text.count('.'), 4)}",
             f"hyphens={min(text.count('-'), 3)}",
             f"letters={sum(c.isalpha() for c in text) * 4 // len(text)}",
             f"before={before}",
         )
-        self.label = OUTSIDE
 
 
-def nodes_of(text: str, spans: list[Span]) -> list[Node]:
-    """Tokens with a digit or ``@``, without punctuation at their ends, labelled by the first base span they touch."""
-    nodes, before = [], ""
+Mention = tuple[int, int, str, str]  # start, end, key, the base span's text
+
+
+def mentions(text: str, spans: list[Span]) -> list[Mention]:
+    """What is similar to a base span and none itself, by start."""
+    endings: dict[str, tuple[str, str]] = {}
+    addresses: dict[str, str] = {}
+    for kind, start, end in spans:
+        digits = NOT_DIGIT.sub("", text[start:end])
+        if KINDS[kind] == "email":
+            addresses[text[start:end].lower()] = text[start:end]
+        elif KINDS[kind] == "card":
+            endings[digits] = digits, text[start:end]
+        elif KINDS[kind] == "phone":
+            for dropped in range(COUNTRY_DIGITS + 1):
+                if len(digits) - dropped >= DISTINCT_DIGITS:
+                    endings.setdefault(digits[dropped:], (digits, text[start:end]))
+    found: list[Mention] = []
+    if endings:
+        longest = max(map(len, endings))
+        for run in NUMBER.finditer(text):
+            if run.end() - run.start() < DISTINCT_DIGITS:
+                continue
+            groups = [(run.start() + m.start(), run.start() + m.end(), m.group()) for m in GROUP.finditer(run.group())]
+            first = 0
+            while first < len(groups):
+                digits, best = "", None
+                for last in range(first, len(groups)):
+                    digits += groups[last][2]
+                    if len(digits) > longest:
+                        break
+                    if digits in endings:
+                        best = last, endings[digits]
+                if best is None:
+                    first += 1
+                    continue
+                start, end = groups[first][0], groups[best[0]][1]
+                # A bracket or plus that belongs to the number.
+                while start and text[start - 1] in "(+":
+                    start -= 1
+                found.append((start, end, *best[1]))
+                first = best[0] + 1
+    if addresses:
+        for m in SPELT.finditer(text):
+            written = f"{m.group(1)}@{SPELT_DOT.sub('.', m.group(2))}".lower()
+            if written in addresses:
+                found.append((m.start(), m.end(), written, addresses[written]))
+    taken = sorted((start, end) for _, start, end in spans)
+    at, free = 0, []
+    for mention in sorted(found):
+        while at < len(taken) and taken[at][1] <= mention[0]:
+            at += 1
+        if at == len(taken) or taken[at][0] >= mention[1]:
+            free.append(mention)
+    return free
+
+
+def nodes_of(text: str, spans: list[Span], similar: list[Mention] | None = None) -> list[Node]:
+    """Base spans (of overlapping ones the first), mentions, and other tokens with a digit or ``@`` without punctuation at their ends."""
+    if similar is None:
+        similar = mentions(text, spans)
+    whole: list[tuple[int, int, int, str, str]] = []
+    for kind, start, end in sorted(spans, key=lambda span: (span[1], span[0])):
+        if not whole or whole[-1][1] <= start:
+            key = text[start:end].lower() if KINDS[kind] in ("email", "ip") else NOT_DIGIT.sub("", text[start:end])
+            whole.append((start, end, kind, key, text[start:end]))
+    whole = sorted([*whole, *((start, end, OUTSIDE, key, shape) for start, end, key, shape in similar)])
+    nodes: list[Node] = []
+    before, at = "", 0
     for m in TOKEN.finditer(text):
-        token = m.group()
+        token, start, end = m.group(), m.start(), m.end()
+        while at < len(whole) and whole[at][0] < end:
+            begins, ends, label, key, shape = whole[at]
+            nodes.append(Node(begins, ends, text[begins:ends], before, label, key, shape))
+            at += 1
         if MARK.search(token):
             core = token.strip(".,;:!?\"'|#$%&*")
-            start = m.start() + token.index(core) if core else m.start()
-            if core:
-                nodes.append(Node(start, start + len(core), core, before))
+            place = start + token.index(core) if core else start
+            # What a base span or a mention covers in part is no node of its own.
+            inside = at and whole[at - 1][1] > start
+            if core and not inside:
+                nodes.append(Node(place, place + len(core), core, before))
             before = "<number>"
         else:
-            before = token.lower()[:12] if len(token) < 40 else "<long>"
-    ordered = sorted(spans, key=lambda span: span[1])
-    at = 0
-    for node in nodes:
-        while at < len(ordered) and ordered[at][2] <= node.start:
-            at += 1
-        touching = [span for span in ordered[at : at + 4] if span[1] < node.end and span[2] > node.start]
-        if touching:
-            node.label = min(touching)[0]
-    return nodes
+            before = token.lower() if len(token) < 40 else "<long>"
+    return sorted(nodes, key=lambda node: node.start)
+
+
+def similar_pairs(nodes: list[Node]) -> list[tuple[int, int]]:
+    """Each node with the one before it that has its key."""
+    pairs, last = [], {}
+    for k, node in enumerate(nodes):
+        if node.key is not None:
+            if node.key in last:
+                pairs.append((last[node.key], k))
+            last[node.key] = k
+    return pairs
 
 
 class Field:
@@ -139,9 +235,14 @@ class Field:
         by_label = np.full(LABELS, SMOOTHING)
         features: dict[str, np.ndarray] = defaultdict(lambda: np.full(LABELS, SMOOTHING))
         self.chain = np.full((LABELS, LABELS), SMOOTHING)
+        together = SMOOTHING * (np.eye(LABELS) * 9 + 1)
         for (feature, label), count in counts.items():
             if feature == "":
                 by_label[label] += count
+            elif feature.startswith("~"):
+                # Which of two equal nodes comes first says nothing.
+                together[int(feature[1:]), label] += count / 2
+                together[label, int(feature[1:])] += count / 2
             elif feature.startswith(">"):
                 self.chain[int(feature[1:]), label] += count
             else:
@@ -152,9 +253,12 @@ class Field:
             for feature, row in features.items()
         }
         self.chain = np.log(self.chain / self.chain.sum(axis=1, keepdims=True)) - self.prior
+        alone = together.sum(axis=1) / together.sum()
+        self.skip = np.log(together / together.sum()) - np.log(alone)[:, None] - np.log(alone)[None, :]
 
     def marginals(self, nodes: list[Node]) -> np.ndarray:
         unary = np.tile(self.prior, (len(nodes), 1))
+        possible = _labels_by_key(nodes)
         for k, node in enumerate(nodes):
             if node.label != OUTSIDE:
                 unary[k] = -CLAMP
@@ -162,25 +266,22 @@ class Field:
             else:
                 for feature in node.features:
                     unary[k] += self.weights.get(feature, 0.0)
+                if node.key in possible:
+                    # What is similar to a base span has its kind or none.
+                    unary[k, [label for label in range(OUTSIDE) if label not in possible[node.key]]] = -CLAMP
         chain = [(k - 1, k) for k in range(1, len(nodes))]
-        skip, last = [], {}
-        for k, node in enumerate(nodes):
-            for key in _keys(node):
-                if key in last:
-                    skip.append((last[key], k))
-                last[key] = k
-        skip = sorted(set(skip))
+        skip = similar_pairs(nodes)
         if not skip and not chain:
             return _softmax(unary)
         edges = np.array(chain + skip)
-        same = SKIP_STRENGTH * np.eye(LABELS)
-        potential = np.concatenate([np.tile(self.chain, (len(chain), 1, 1)), np.tile(same, (len(skip), 1, 1))])
+        potential = np.concatenate([np.tile(self.chain, (len(chain), 1, 1)), np.tile(self.skip, (len(skip), 1, 1))])
         source = np.concatenate([edges[:, 0], edges[:, 1]])
         target = np.concatenate([edges[:, 1], edges[:, 0]])
         potential = np.exp(np.concatenate([potential, potential.transpose(0, 2, 1)]))
         back = np.roll(np.arange(len(source)), len(edges))
         messages = np.zeros((len(source), LABELS))
-        for _ in range(ROUNDS):
+        # A message passes all nodes in as many rounds; damping makes loops settle, and halves what is left of a change.
+        for _ in range(2 * len(nodes) + 30):
             belief = unary.copy()
             np.add.at(belief, target, messages)
             cavity = _softmax(belief[source] - messages[back])
@@ -188,48 +289,35 @@ class Field:
             fresh -= fresh.max(axis=1, keepdims=True)
             moved = np.abs(fresh - messages).max()
             messages = 0.5 * (messages + fresh)
-            if moved < 1e-3:
+            if moved < SETTLED:
                 break
         belief = unary.copy()
         np.add.at(belief, target, messages)
         return _softmax(belief)
 
     def added_spans(self, text: str, spans: list[Span]) -> list[Span]:
-        if not spans:
-            # The patterns label every example that the field learns from: without any, no label can spread.
-            return []
-        nodes = nodes_of(text, spans)
-        if all(node.label != OUTSIDE for node in nodes):
-            return []
-        supported = _supported(nodes)
-        if not any(supported):
+        # Without something similar to a base span, no label can spread.
+        similar = mentions(text, spans) if spans else []
+        if not similar:
             return []
+        nodes = nodes_of(text, spans, similar)
+        labels = _labels_by_key(nodes)
         best = self.marginals(nodes)
         added: list[Span] = []
-        for node, chances, kinds in zip(nodes, best, supported):
+        for node, chances in zip(nodes, best):
             label = int(chances.argmax())
-            if label not in kinds or chances[label] < CERTAIN:
-                continue
-            if added and added[-1][0] == label and text[added[-1][2] : node.start] in (" ", "-"):
-                added[-1] = (label, added[-1][1], node.end)
-            else:
+            if node.label == OUTSIDE and node.key in labels and label in labels[node.key] and chances[label] >= CERTAIN:
                 added.append((label, node.start, node.end))
         return added
 
 
-def _keys(node: Node) -> set[str]:
-    """What makes a token the same as another: its text, or four digits and more."""
-    return {node.text.lower()} | ({node.digits} if len(node.digits) >= 4 else set())
-
-
-def _supported(nodes: list[Node]) -> list[set[int]]:
-    """Per free node, the base labels of the nodes it shares a key with; evidence from elsewhere adds no span."""
+def _labels_by_key(nodes: list[Node]) -> dict[str, set[int]]:
+    """The kinds of the base spans of each key."""
     labels: dict[str, set[int]] = defaultdict(set)
     for node in nodes:
         if node.label != OUTSIDE:
-            for key in _keys(node):
-                labels[key].add(node.label)
-    return [set().union(*(labels[key] for key in _keys(node) if key in labels)) if node.label == OUTSIDE else set() for node in nodes]
+            labels[node.key].add(node.label)
+    return dict(labels)
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -245,12 +333,14 @@ def fit(docs: DataFrame, sample: int = 4000) -> Field:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text and MARK.search(text):
-                    nodes = nodes_of(text, base_spans(text))
+                    nodes = nodes_of(text, base_spans(text), [])
                     for k, node in enumerate(nodes):
                         counts["", node.label] += 1
                         counts.update((feature, node.label) for feature in node.features)
                         if k:
                             counts[f">{nodes[k - 1].label}", node.label] += 1
+                    for before, after in similar_pairs(nodes):
+                        counts[f"~{nodes[before].label}", nodes[after].label] += 1
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([key[0] for key in counts], pa.string()),

@@ -392,6 +392,58 @@ def test_labels_spread_over_distant_repeats(spark, sf):
     assert "4711" in pii.masked_text(text, spans + added) and "555-2485" not in pii.masked_text(text, spans + added)
 
 
+@pytest.mark.parametrize(
+    "base,again,kind",
+    [
+        ("+1 (988) 555-2485", "988-555-2485", 3), ("+1 (988) 555-2485", "(988) 555 2485", 3), ("+44 20 7946 0958", "20 7946 0958", 3),
+        ("4111 1111 1111 1111", "4111.1111.1111.1111", 2), ("jane.doe@example.com", "jane.doe (at) example (dot) com", 0),
+        ("+1 (988) 555-2485", "19885552485", 3),
+    ],
+)
+def test_other_spellings_of_what_a_document_holds_are_found(spark, sf, base, again, kind):
+    field = FIELDS.setdefault("sf", None) or FIELDS.update(sf=pii.fit(documents(spark, sf))) or FIELDS["sf"]
+    text = f"Reach me: {base} today. " + "some other words here " * 40 + f"or {again}, in room 12 of 1999 then"
+    spans = pii.base_spans(text)
+    assert [(k, text[a:b]) for k, a, b in field.added_spans(text, spans)] == [(kind, again)]
+    assert field.added_spans(text.replace(base, "nobody"), pii.base_spans(text.replace(base, "nobody"))) == []
+
+
+FIELDS: dict = {}
+
+
+def test_parts_of_numbers_do_not_spread(spark, sf):
+    field = FIELDS.get("sf") or pii.fit(documents(spark, sf))
+    text = (
+        "Call +1 (988) 555-2485 or pay 4111 1111 1111 1111. Step +1 of 3. Founded in 1111 AD, see 1111 and (988) pages, 555 of them, "
+        "order 2485, number 98855524851 and 29885552485 0, mail a@b.example.com not a (at) c (dot) com, +1 again"
+    )
+    assert field.added_spans(text, pii.base_spans(text)) == []
+
+
+def test_skip_edges_agree_with_enumeration():
+    """In loops of chain and skip edges message passing comes close to adding up all labellings."""
+    counts = {("", 3): 9, ("", 4): 30, ("digits=10", 4): 4, ("digits=11", 3): 9, (">4", 3): 4, (">3", 4): 5, (">4", 4): 9, ("~3", 3): 7, ("~4", 4): 6, ("~3", 4): 1}
+    field = pii.Field(counts)
+    for text, close in (("+1 988 555 2485 or 9885552485", 0.02), ("+1 988 555 2485 then 77 and 9885552485", 0.02)):
+        spans = pii.base_spans(text)
+        nodes = pii.nodes_of(text, spans)
+        pairs = pii.similar_pairs(nodes)
+        assert pairs == [(0, len(nodes) - 1)]
+        unary = [
+            np.where(np.arange(5) == n.label, 0.0, -pii.CLAMP) if n.label != pii.OUTSIDE
+            else field.prior + sum(field.weights.get(f, np.zeros(5)) for f in n.features) for n in nodes
+        ]
+        unary[-1][:3] = -pii.CLAMP  # what is similar to a phone is one, or nothing
+        total = np.zeros((len(nodes), 5))
+        for labels in np.ndindex(*[5] * len(nodes)):
+            score = sum(u[k] for u, k in zip(unary, labels))
+            score += sum(field.chain[labels[k - 1], labels[k]] for k in range(1, len(nodes)))
+            score += sum(field.skip[labels[a], labels[b]] for a, b in pairs)
+            for k, label in enumerate(labels):
+                total[k, label] += np.exp(score)
+        assert np.allclose(field.marginals(nodes), total / total.sum(axis=1, keepdims=True), atol=close)
+
+
 def test_messages_agree_with_enumeration():
     """On a chain without skip edges message passing is exact."""
     field = pii.Field({("", 0): 5, ("", 4): 9, ("at=True", 0): 4, ("at=True", 4): 1, (">4", 0): 2, (">0", 4): 3, (">4", 4): 4})
