@@ -25,12 +25,24 @@ from pyspark.sql import functions as F
 from fillmetrics.llm.common import checkpointed, components
 
 BITS = 64
-# Depths at which the frontier is materialised: small steps where the trie is dense, larger ones where it is sparse.
-DEPTHS = (6, 12, 16, 20, 24, 32, 48, 64)
 SHINGLE = 3
 BUDGET = 2
 
 
+def depths_for(prints: int) -> tuple[int, ...]:
+    """Depths at which the frontier is materialised.
+
+    Down to the depth that tells so many prints apart the trie is dense, and a step of k bits tries 4^k pairs of children for each
+    pair of nodes: two bits at a time (from 12 on, above which there are few pairs). Below, a node has hardly more than one
+    child, whatever the step. The depths follow from the count, so that they suit any number of prints alike.
+    """
+    dense = list(range(14, min(max(prints, 1).bit_length() + 1, BITS), 2))
+    found = [6, 12, *dense]
+    for step in (4, 8, 16):
+        found.append(found[-1] + step)
+    return tuple([depth for depth in found if depth < BITS] + [BITS])
+
+
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     """The fingerprint of one text in UTF-8, as an unsigned number."""
     import numpy as np
@@ -70,11 +82,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id") -
     return docs.select(key, F.col("text").cast("string")).mapInArrow(run, f"{key} {kind}, fp long")
 
 
-def trie_pairs(prints: DataFrame, budget: int = BUDGET, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
-    """Pairs ``a``, ``b`` of different values of ``prints.fp`` that differ in at most ``budget`` bits, each once."""
+def trie_pairs(prints: DataFrame, budget: int = BUDGET, depths: tuple[int, ...] | None = None) -> DataFrame:
+    """Pairs ``a``, ``b`` of different values of ``prints.fp`` that differ in at most ``budget`` bits, each once.
+
+    ``depths`` end with the 64 of the leaves; by default they follow from the number of prints.
+    """
     spark = prints.sparkSession
     leaves = prints.select("fp").distinct()
-    above, *deeper = depths
+    above, *deeper = depths or depths_for(leaves.count())
     # Pairs of patterns at the first depth; the next step finds out which of them exist.
     frontier = (
         spark.range(1 << (2 * above))
