@@ -1,5 +1,7 @@
 """Each operator against a brute-force version, an exact round trip or held-out accuracy."""
 
+import math
+import os
 import random
 import re
 import zlib
@@ -60,6 +62,29 @@ def test_licences_in_other_dress(spark):
     assert found == {1: ("MIT", []), 2: ("MIT", []), 3: (None, []), 4: (None, ["CC-BY-NC-4.0"])}
 
 
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="no licence files here")
+def test_licence_files_of_the_system_are_found(spark):
+    files = license_scan.texts_of_folder(spark, "file:///usr/share/common-licenses")
+    docs = files.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.col("license_id").alias("file"))
+    found = {row.file: row.license_id for row in license_scan.scan(docs).join(docs.select("doc_id", "file"), "doc_id").collect()}
+    assert all(found.values())
+    assert {name: found[name] for name in ("Apache-2.0", "BSD", "GPL-3") if name in found}.items() <= {
+        "Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause-UC", "GPL-3": "GPL-3.0"
+    }.items()
+
+
+def test_headings_and_copyright_lines(spark):
+    mit = license_scan.KNOWN["MIT"]
+    wrapped = mit.replace("OR COPYRIGHT HOLDERS BE", "OR\nCOPYRIGHT HOLDERS BE")
+    texts = [
+        "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + mit, "The MIT License (MIT)\n" + mit, wrapped, "Copyright 2019, 2020 Some One. All rights reserved.\n" + wrapped,
+        mit + "\nand more", "ISC Licence\n\nCopyright <YEAR> <OWNER>\n" + license_scan.KNOWN["ISC"], license_scan.KNOWN["BSD-3-Clause"].lower(),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {row.doc_id: row.license_id for row in license_scan.scan(docs).collect()}
+    assert found == {0: "MIT", 1: "MIT", 2: "MIT", 3: "MIT", 4: None, 5: "ISC", 6: "BSD-3-Clause"}
+
+
 # -- op2 -------------------------------------------------------------------------------------------------------
 
 
@@ -527,6 +552,25 @@ def test_trie_join_finds_every_pair(spark):
     assert {frozenset((row.a & mask, row.b & mask)): row.errors for row in found} == expected
 
 
+def test_depths_follow_the_number_of_prints(spark):
+    """Steps are small while the trie is dense, at any size; results do not depend on them; few pairs are tried per print."""
+    for prints in (0, 1, 300_000, 10**8, 10**9, 10**12, 1 << 64):
+        depths = simhash_dedup.depths_for(prints)
+        dense = prints.bit_length()
+        assert depths[-1] == 64 and list(depths) == sorted(set(depths))
+        assert all(b - a <= 2 for a, b in zip(depths, depths[1:]) if 12 <= a < dense - 1)
+    tried = {}
+    for size in (2000, 8000):
+        frame = spark.range(size).select(F.xxhash64("id").alias("fp"))
+        pairs = {(r.a, r.b) for r in simhash_dedup.trie_pairs(frame, 2).collect()}
+        assert pairs == {(r.a, r.b) for r in simhash_dedup.trie_pairs(frame, 2, (6, 16, 40, 64)).collect()}
+        depths = simhash_dedup.depths_for(size)
+        # Pairs of nodes that a level of a full trie can hold, against the prints.
+        widths = [min(2**depth, size) * sum(math.comb(min(depth, size.bit_length()), k) for k in range(3)) for depth in depths]
+        tried[size] = max(widths) / size
+    assert tried[8000] < 1.5 * tried[2000] and tried[8000] < 120
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
