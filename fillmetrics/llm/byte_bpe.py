@@ -78,6 +78,7 @@ class ByteBpe:
         # White space as Unicode defines it; this library's own \s has four control characters more.
         self.matches = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.ranks = ranks
+        self.token_of = {rank: token for token, rank in ranks.items()}
         self.leaf_chars, self.leaf_bytes, self.most_kept = leaf_chars, leaf_bytes, most_kept
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -323,9 +324,7 @@ def decoded(tokens: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """The rows with ``decoded``, the bytes that ``ids`` stand for (null where ``ids`` is)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = kept_in_worker(
-            "byte_bpe_tokens", str(vocabulary), lambda: {rank: token for token, rank in read_ranks(vocabulary).items()}
-        )
+        table = _encoder(vocabulary, None).token_of
 
         def bytes_of(ids: np.ndarray) -> bytes:
             if len(ids) <= LEAF_IDS:

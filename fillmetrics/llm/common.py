@@ -35,19 +35,26 @@ def chance(key: Column, salt: str) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1_000_000)) / F.lit(1_000_000.0)
 
 
-_KEPT: dict[str, tuple[object, object]] = {}
+_KEPT: list[tuple[str, object, object]] = []
 
 
 def kept_in_worker(kind: str, source: object, make: Callable[[], object]) -> object:
     """What ``make`` gives, kept for the next task of this worker as long as it is asked for with the same object or text.
 
-    A broadcast value is one object for all tasks of a worker.
+    A broadcast value is one object for all tasks of a worker. A worker keeps one thing at a time, as it goes from one
+    operator to the next.
     """
-    before = _KEPT.get(kind)
-    same = before is not None and (before[0] is source or isinstance(source, str) and before[0] == source)
+    before = _KEPT[0] if _KEPT else None
+    same = before is not None and before[0] == kind and (before[1] is source or isinstance(source, str) and before[1] == source)
     if not same:
-        _KEPT[kind] = (source, make())
-    return _KEPT[kind][1]
+        _KEPT.clear()
+        _KEPT.append((kind, source, make()))
+    return _KEPT[0][2]
+
+
+def nothing_kept_in_worker() -> None:
+    """Let go of what an operator before kept."""
+    _KEPT.clear()
 
 
 def components(links: DataFrame) -> DataFrame:

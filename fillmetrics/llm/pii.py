@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import chance
+from fillmetrics.llm.common import chance, nothing_kept_in_worker
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = len(KINDS)
@@ -422,6 +422,7 @@ def masked(docs: DataFrame, field: Field) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_kept_in_worker()
         field = shared.value
         for batch in batches:
             texts = []

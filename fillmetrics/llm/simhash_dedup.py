@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import checkpointed, components
+from fillmetrics.llm.common import checkpointed, components, nothing_kept_in_worker
 
 BITS = 64
 SHINGLE = 3
@@ -73,6 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        nothing_kept_in_worker()
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(text, shingle) for text in texts], dtype=np.uint64).view(np.int64)
