@@ -23,8 +23,8 @@ from fillmetrics.sources.tables import scan_normalized, store_dates, write_by_da
 
 PLAN = "date date, dataset string, files bigint, bytes bigint, largest bigint, status string"
 
-# A raw file larger than this keeps one task decoding for long; its lines are dealt out before they are parsed. The
-# choice is made file by file, whatever else a run reads.
+# A raw file larger than this keeps one task decoding for long; several tasks read it, or its lines are dealt out before they are
+# parsed. The choice is made file by file, whatever else a run reads.
 SPREAD_RAW_FILE = 64 << 20
 
 # How much larger rows are in a shuffle than in a compressed raw file; only the number of partitions depends on it.
@@ -36,7 +36,8 @@ class PipelineConf:
     """Where data lives and what to run.
 
     ``on_bad`` is ``fail`` (one pass) or ``quarantine`` (a second pass collects the defective rows under
-    ``quarantine_path``). ``spread_raw_file`` is the file size above which lines are spread before parsing. ``published``
+    ``quarantine_path``). ``spread_raw_file`` is the file size above which several tasks read a file, or its lines are spread
+    before parsing. ``published``
     fills change for readers once per run, all dates together; a table with plain date folders keeps them. With a
     ``ledger_path`` only new and open raw folders are listed. ``with_sketches`` adds that mart when all are built.
     """
@@ -112,6 +113,7 @@ def _read_dates(spark: SparkSession, conf: PipelineConf, dataset: str, plan: lis
         [raw_directory(conf.raw_root, dataset, row.date) for row in plan],
         conf.transport,
         spread_above=conf.spread_raw_file if oversized else None,
+        split_above=conf.spread_raw_file if oversized else None,
         parts=math.ceil(sum(row.bytes for row in oversized) * RAW_INFLATION / BYTES_PER_PARTITION) or 1,
     )
 
