@@ -6,7 +6,6 @@ data) and the packing search have no SQL form; the tests hold ``run`` against a
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
@@ -14,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillmetrics.llm import decontamination, language_id, packing, pii, simhash_dedup
-from fillmetrics.llm.common import fold, table
+from fillmetrics.llm.common import fold, shared_folder, table
+from fillmetrics.sources.folders import remove
 
 # A language is doubted where its posterior probability is not even one half.
 LEAST_SCORE = 0.5
@@ -63,13 +63,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over ``documents``; what goes between them is written below the shared checkpoint folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = f"{named or os.path.join(spark.conf.get('spark.sql.warehouse.dir'), '_checkpoints')}/pipeline-{uuid.uuid4()}"
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn over ``documents``; what goes between them is written below the shared checkpoint folder.
+
+    Once a stage is written, what it read is removed. What the last stage reads stays: its result is not yet computed.
+    """
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+    docs, written = table(spark, sf_dir, "documents"), None
     for place, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place + 1 < len(STAGES):
             docs.write.parquet(f"{folder}/{name}")
             docs = spark.read.parquet(f"{folder}/{name}")
+            if written:
+                remove(spark, [written])
+            written = f"{folder}/{name}"
     return docs

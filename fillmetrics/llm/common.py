@@ -15,13 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder that the cluster names; a session on one machine may do without and use one beside its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder that the cluster names; one beside the warehouse only where none is named."""
+    """Cut the lineage in the shared folder."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
