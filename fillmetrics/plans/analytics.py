@@ -15,6 +15,7 @@ from fillmetrics.functions.values import to_double
 from fillmetrics.operators import activity, assets, bounded, cohorts, marts, reports, sketches
 from fillmetrics.plans import marts as stored
 from fillmetrics.schema import NUMERIC
+from fillmetrics.sources.bucketed import store_by_user
 
 Coins = str | Iterable[str] | None
 
@@ -85,6 +86,13 @@ class FillAnalytics:
         for name in (*stored.DATED, *stored.WHOLE):
             self.__dict__.pop(name, None)
 
+    def store_by_user(self, table: str, buckets: int = 200) -> None:
+        """Keep the user-day totals by user in a catalog table as well; until ``refresh``, questions per user read that one.
+
+        Transitions and mobility for any thresholds then need no shuffle by user.
+        """
+        self.user_daily_volume = store_by_user(self.user_daily_volume, table, self.mart_dir, buckets)
+
     def _mart(self, name: str) -> DataFrame:
         found = stored.read_dated(self.spark, self.mart_dir, self._state, name)
         if found is None:

@@ -137,3 +137,29 @@ def test_two_objects_answer_sql_from_their_own_tables(spark):
     assert not [table for table in spark.catalog.listTables() if table.name.startswith("fillmetrics_")]
     one.register_views()
     assert spark.sql("SELECT count(*) FROM fills").first()[0] == 1
+
+
+def test_totals_by_user_need_no_shuffle_by_user(spark, folder):
+    conf = PipelineConf(f"{folder}/raw", f"{folder}/fills", f"{folder}/marts")
+    for number in (1, 2, 3):
+        lines = [BLOCK.replace("0xa", f"0x{user}").replace('"sz":"1"', f'"sz":"{user * number}"') for user in range(20)]
+        put_raw(conf.raw_root, "node_fills_by_block", f"2025080{number}", "00", lines)
+    run_pipeline(spark, conf)
+    opened = FillAnalytics(spark, conf.fills_path, conf.mart_root)
+    limits = [50, 200]
+    expected = as_rows(opened.get_bucket_transitions(limits)), as_rows(opened.get_bucket_mobility([1], limits))
+    assert "Exchange hashpartitioning(user_address" in plan_of(opened.get_bucket_transitions(limits))
+    opened.store_by_user("totals_by_user", 4)
+    asked = opened.get_bucket_transitions(limits), opened.get_bucket_mobility([1], limits)
+    assert tuple(map(as_rows, asked)) == expected
+    for df in asked:
+        assert "Exchange hashpartitioning(user_address" not in plan_of(df) and "Bucketed: true" in plan_of(df)
+    opened.refresh()
+    assert as_rows(opened.get_bucket_transitions(limits)) == expected[0]
+    opened.store_by_user("totals_by_user", 4)
+    assert as_rows(opened.get_bucket_transitions(limits)) == expected[0]
+    spark.sql("DROP TABLE totals_by_user")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
