@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import chance, checkpointed, kept_in_worker
+from fillmetrics.llm.common import chance, checkpointed, kept_in_worker, nothing_kept_in_worker
 
 ORDERS = (5, 4, 3, 2, 1)
 DISCOUNT = math.log(0.4)
 SMOOTHING = 0.1
 EVIDENCE = 12
-MOST_CACHED = 250_000
+MOST_CACHED = 200_000
 FULL_TABLES = 20
 MOST_SUMMED = 200_000
 UNDETERMINED = "und"
@@ -174,6 +174,7 @@ def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Language, n-gram and count from language, word and count; added up as far as they fit."""
+    nothing_kept_in_worker()
     names = ["language", "key", "count"]
     kinds = (pa.string(), pa.string(), pa.int64())
     sums: Counter = Counter()
