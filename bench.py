@@ -83,7 +83,7 @@ def main() -> None:
         attempts["job_normalize"].append(seconds(lambda: normalize_dates(spark, conf).collect()))
         attempts["job_build_marts"].append(seconds(lambda: build_marts(spark, conf.fills_path, conf.mart_root)))
     timings.update({name: statistics.median(took[1:]) for name, took in attempts.items()})
-    stored_rows = spark.read.parquet(conf.fills_path).count()
+    stored_rows = scan_normalized(spark, conf.fills_path).count()
 
     copies = (
         scan_normalized(spark, conf.fills_path)
