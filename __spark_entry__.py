@@ -253,9 +253,19 @@ def _ledger_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.join(listed, ["dataset", "date"], "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
 
 
+def _kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """The same rows, computed once and read from the shared folder from then on."""
+    folder = f"{checkpoint_folder(spark, spark.conf.get('spark.sql.warehouse.dir'))}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def _reconciled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Expected fills, and a store in which some were swapped, some doubled and as many lost."""
-    expected = _normalized(spark, sf_dir)
+    """Expected fills, and a store in which some were swapped, some doubled and as many lost.
+
+    Both are read twice, to be compared and for what differs, so the raw lines are converted once beforehand.
+    """
+    expected = _kept(spark, _normalized(spark, sf_dir), "expected")
     last = F.col("oid") % 100
     doubled = (last == 7) & (F.col("date") < F.lit(REWRITTEN[0]))
     lost = (last == 9) & (F.col("date") < F.lit(REWRITTEN[0]))

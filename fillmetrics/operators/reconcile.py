@@ -69,7 +69,8 @@ def differing_rows(
     ``columns``, ``keys``, ``missing`` (negative: too many). Rows are counted by their hashes before anything is shuffled, so a
     row that is repeated without end is one row; one of each stands for the others.
     """
-    failed = checked.where(~F.col("passed")).select(*[F.col(key).alias(f"its_{key}") for key in keys])
+    # One row per key that failed, sent to every task: otherwise all rows would be shuffled to find the few keys.
+    failed = F.broadcast(checked.where(~F.col("passed")).select(*[F.col(key).alias(f"its_{key}") for key in keys]))
     same_key = _all([F.col(key).eqNullSafe(F.col(f"its_{key}")) for key in keys])
     names = list(dict.fromkeys([*columns, *keys]))
     first, second = _hashes(columns)

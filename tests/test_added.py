@@ -1,7 +1,9 @@
 """Content reconciliation, bounded ranking, unknown fields, quantile sketches, wide prices, views of several objects."""
 
 import random
+from datetime import datetime
 
+import __spark_entry__ as contract
 import pytest
 from fixtures import BLOCK, FILL, TRADE, as_rows, day, fill, FILLS, put_raw, raw
 from pyspark.sql import functions as F
@@ -46,6 +48,34 @@ def test_keys_of_one_side_only(spark):
     assert as_rows(reconcile.differing_rows(none, some, checked, COLUMNS), "missing") == [(-1,), (-1,)]
 
 
+def test_rows_are_not_shuffled_to_find_the_failed_keys(spark):
+    rows = [(source, day(on), str(user), "1") for source in "st" for on in (1, 2) for user in range(5)]
+    left, right = (spark.createDataFrame(some, ROWS) for some in (rows, rows[1:]))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = reconcile.differing_rows(left, right, reconcile.content_check(left, right, COLUMNS), COLUMNS)
+        joins = [line for line in plan_of(found).split("\n") if "LeftSemi" in line]
+        assert len(joins) == 2 and all("BroadcastHashJoin" in line for line in joins)
+        assert as_rows(found, "dataset_source", "user", "missing") == [("s", "0", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_raw_lines_are_converted_once_for_the_content_checks(spark, folder):
+    rows = [(7, 2), (9, 2), (12, 2), (7, 12), (9, 12), (11, 20), (13, 20), (11, 25)]
+    events = [(number * 100 + last, datetime(2024, 1, on), number, "click", 2.5, '{"k": 3}') for number, (last, on) in enumerate(rows)]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, kinds).write.parquet(f"{folder}/events.parquet")
+    checked, found = (contract.queries()[name](spark, folder) for name in ("content_check", "content_differences"))
+    for df in (checked, found):
+        assert "from_json" not in plan_of(df) and "JsonToStructs" not in plan_of(df)
+    assert {(r.date.day, r.expected_records, r.stored_records) for r in checked.where("not passed").collect()} == {(2, 6, 6), (20, 2, 2)}
+    assert as_rows(found, "oid", "user_address", "missing") == [
+        (109, "1", 1), (511, "5", 1), (511, "5x", -1), (7, "0", -1)
+    ]
+
+
 @pytest.mark.parametrize("seed,skewed", [(1, True), (2, True), (3, False)])
 def test_bounded_ranking_equals_the_full_one(spark, seed, skewed):
     random.seed(seed)
