@@ -60,16 +60,24 @@ def fills_from_events(events: DataFrame) -> DataFrame:
 
 def fills_from_lineitem(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """One fill per line item over several years: the customer trades a brand; size 1 at the extended price."""
+    # Dates are cut before the joins, which shuffle them; prices are not, as one out of range may belong to no order.
+    lines = lineitem.select(
+        "l_orderkey",
+        "l_partkey",
+        F.col("l_shipdate").cast("date").alias("date"),
+        "l_extendedprice",
+        (F.col("l_linenumber") % 2 == 0).alias("even"),
+    )
     return (
-        lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            F.col("l_shipdate").cast("date").alias("date"),
+            "date",
             _price("l_extendedprice").alias("px"),
             F.lit(1).cast("decimal(6,0)").alias("sz"),
             F.col("o_custkey").cast("string").alias("user_address"),
             F.col("p_brand").alias("coin"),
-            F.when(F.col("l_linenumber") % 2 == 0, F.lit("A")).otherwise(F.lit("B")).alias("side"),
+            F.when(F.col("even"), F.lit("A")).otherwise(F.lit("B")).alias("side"),
             F.col("l_orderkey").cast("string").alias("hash"),
         )
     )

@@ -17,6 +17,7 @@ from fillmetrics.functions.filters import in_coins, in_dates, on_side
 from fillmetrics.functions.values import to_double
 
 MARKET_SIDES = ("A",)
+_USER, _HASH, _FIRST, _COIN, _DAY = range(5)
 
 
 def user_activity(fills: DataFrame) -> DataFrame:
@@ -79,6 +80,53 @@ def daily_metrics_from_activity(activity: DataFrame, fills: DataFrame) -> DataFr
     )
 
 
+def days(fills: DataFrame) -> DataFrame:
+    """``date, dau, new_users, new_coins, total_volume, total_trades, fills`` in one pass over fills that are not stored.
+
+    A fill gives an entry for each figure: users and A-side hashes by date, users and coins by their first date, and the
+    date's volume. All are combined in each task and shuffled once. Null dates, users and coins count as in the summaries.
+    """
+    ask, day = F.col("side") == "A", F.col("date")
+    volume = F.when(ask, F.col("sz") * F.col("px")).otherwise(F.lit(0))
+    no_day, no_volume = F.when(F.lit(False), day), F.when(F.lit(False), volume)
+
+    def entry(kind: int, key: Column, date: Column = no_day, first: Column = no_day, amount: Column = no_volume, count=None):
+        return F.struct(
+            F.lit(kind).cast("tinyint").alias("kind"),
+            key.cast("string").alias("key"),
+            date.alias("date"),
+            first.alias("first"),
+            amount.alias("volume"),
+            F.lit(count).cast("bigint").alias("fills"),
+        )
+
+    entries = F.array(
+        entry(_USER, F.col("user_address"), day),
+        entry(_HASH, F.when(ask & day.isNotNull(), F.col("hash")), day),
+        entry(_FIRST, F.col("user_address"), first=day),
+        entry(_COIN, F.col("coin"), first=day),
+        entry(_DAY, F.lit(None), day, amount=volume, count=1),
+    )
+    kind = F.col("kind")
+    listed = fills.select(F.inline(entries)).where(kind.isin(_FIRST, _DAY) | F.col("key").isNotNull())
+    grouped = listed.groupBy("kind", "key", "date").agg(
+        F.min("first").alias("first"), F.sum("volume").alias("volume"), F.sum("fills").alias("fills")
+    )
+    dated = grouped.withColumn("date", F.when(kind.isin(_FIRST, _COIN), F.col("first")).otherwise(F.col("date")))
+
+    def counted(wanted: int) -> Column:
+        return F.count(F.when(kind == wanted, F.lit(1)))
+
+    return dated.groupBy("date").agg(
+        counted(_USER).alias("dau"),
+        counted(_FIRST).alias("new_users"),
+        counted(_COIN).alias("new_coins"),
+        F.sum("volume").alias("total_volume"),
+        counted(_HASH).alias("total_trades"),
+        F.sum("fills").alias("fills"),
+    )
+
+
 def user_daily_volume(volumes: DataFrame, coins: str | Iterable[str] | None = None) -> DataFrame:
     """User-day totals over all coins or a selection: ``date, user_address, daily_volume``."""
     return in_coins(volumes, coins).groupBy("date", "user_address").agg(F.sum("daily_volume").alias("daily_volume"))

@@ -17,6 +17,16 @@ SUMMARY = (
     "total_volume",
     "total_trades",
 )
+REPORT = (
+    *SUMMARY,
+    "average_dau",
+    "peak_dau",
+    "average_daily_volume",
+    "peak_daily_volume",
+    "total_new_users",
+    "average_new_users",
+    "peak_new_users",
+)
 
 
 def beside(*one_row: DataFrame) -> DataFrame:
@@ -48,6 +58,24 @@ def _days() -> list[Column]:
     ]
 
 
+def _peaks() -> list[Column]:
+    return [
+        exact_mean(F.col("dau")).alias("average_dau"),
+        F.max("dau").alias("peak_dau"),
+        exact_mean(F.col("total_volume")).alias("average_daily_volume"),
+        to_double(F.max("total_volume")).alias("peak_daily_volume"),
+    ]
+
+
+def _acquisition() -> list[Column]:
+    return [
+        F.coalesce(F.sum("new_users"), F.lit(0)).alias("unique_users"),
+        F.sum("new_users").alias("total_new_users"),
+        exact_mean(F.col("new_users")).alias("average_new_users"),
+        F.max("new_users").alias("peak_new_users"),
+    ]
+
+
 def data_summary(activity: DataFrame, first_trades: DataFrame, metrics: DataFrame) -> DataFrame:
     """Eight figures over everything stored; fill and coin counts come from ``user_activity``, not from the fills.
 
@@ -62,26 +90,19 @@ def summary_report(activity: DataFrame, metrics: DataFrame, daily_new: DataFrame
 
     Every user is new on exactly one day, so the number of users is the total of new users; each input is read once.
     """
-    daily = metrics.agg(
+    daily = metrics.agg(*_days(), *_peaks())
+    acquisition = daily_new.agg(*_acquisition())
+    return beside(_stored(activity), daily, acquisition).select(*REPORT)
+
+
+def summary_report_of_days(days: DataFrame) -> DataFrame:
+    """The same row from :func:`marts.days`, for fills without stored summaries; they are read once for all figures."""
+    # A day without new users has no row among the new users.
+    found = days.withColumn("new_users", F.when(F.col("new_users") > 0, F.col("new_users")))
+    return found.agg(
+        F.coalesce(F.sum("fills"), F.lit(0)).alias("total_fills"),
+        F.coalesce(F.sum("new_coins"), F.lit(0)).alias("unique_coins"),
         *_days(),
-        exact_mean(F.col("dau")).alias("average_dau"),
-        F.max("dau").alias("peak_dau"),
-        exact_mean(F.col("total_volume")).alias("average_daily_volume"),
-        to_double(F.max("total_volume")).alias("peak_daily_volume"),
-    )
-    acquisition = daily_new.agg(
-        F.coalesce(F.sum("new_users"), F.lit(0)).alias("unique_users"),
-        F.sum("new_users").alias("total_new_users"),
-        exact_mean(F.col("new_users")).alias("average_new_users"),
-        F.max("new_users").alias("peak_new_users"),
-    )
-    return beside(_stored(activity), daily, acquisition).select(
-        *SUMMARY,
-        "average_dau",
-        "peak_dau",
-        "average_daily_volume",
-        "peak_daily_volume",
-        "total_new_users",
-        "average_new_users",
-        "peak_new_users",
-    )
+        *_peaks(),
+        *_acquisition(),
+    ).select(*REPORT)

@@ -290,6 +290,8 @@ class FillAnalytics:
         return row.asDict()
 
     def get_summary_report(self) -> DataFrame:
+        if self.mart_dir is None:
+            return reports.summary_report_of_days(marts.days(self.fills))
         return reports.summary_report(self.user_activity, self.daily_metrics, self.get_daily_new_users())
 
     def _views(self) -> dict[str, DataFrame]:

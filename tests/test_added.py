@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime
+from decimal import Decimal
 
 import __spark_entry__ as contract
 import pytest
@@ -9,7 +10,7 @@ from fixtures import BLOCK, FILL, TRADE, as_rows, day, fill, FILLS, put_raw, raw
 from pyspark.sql import functions as F
 
 from fillmetrics import FillAnalytics, PipelineConf, run_pipeline
-from fillmetrics.operators import assets, bounded, marts, normalize, reconcile, rescue, sketches
+from fillmetrics.operators import assets, bounded, marts, normalize, reconcile, reports, rescue, sketches
 from fillmetrics.schema import NODE_FILLS, NODE_FILLS_BY_BLOCK, NODE_TRADES
 
 ROWS = "dataset_source string, date date, user string, px string"
@@ -191,5 +192,25 @@ def test_totals_by_user_need_no_shuffle_by_user(spark, folder):
     spark.sql("DROP TABLE totals_by_user")
 
 
+def test_report_of_fills_reads_them_once(spark):
+    columns = "date date, px decimal(12,2), sz decimal(6,0), user_address string, coin string, side string, hash string"
+    picks = random.Random(5)
+    rows = [
+        (picks.choice([day(1), day(2), day(3), day(9), None]), Decimal(picks.choice(["1.25", "7.50"])), Decimal(picks.randint(1, 3)))
+        + tuple(picks.choice([*values, None]) for values in ("abcdefgh", "xy", "AB", "123456"))
+        for _ in range(60)
+    ]
+    # A user, a coin and a hash that are seen without a date only; the prices of a day are absent.
+    rows += [(None, Decimal(2), Decimal(1), "late", "zz", "A", "77"), (day(4), None, Decimal(1), "a", "x", "A", "1")]
+    for some in (rows, [row for row in rows if row[0]], rows[-1:], rows[-2:-1], []):
+        metrics = FillAnalytics.from_fills(spark.createDataFrame(some, columns))
+        report = metrics.get_summary_report()
+        parts = metrics.user_activity, metrics.daily_metrics, metrics.get_daily_new_users()
+        wanted = reports.summary_report(*parts)
+        assert report.dtypes == wanted.dtypes and report.collect() == wanted.collect()
+    metrics = FillAnalytics.from_fills(spark.createDataFrame(rows, columns))
+    assert plan_of(metrics.get_summary_report()).count("Scan ExistingRDD") == 1
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
