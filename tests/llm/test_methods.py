@@ -144,6 +144,29 @@ def test_pieces_are_the_tokenizer_s_ids(spark, sf):
     assert got == expected
 
 
+def test_words_are_learnt_as_units_of_the_tokenizer():
+    """A word with a capital or a sign behind it is nothing new to learn."""
+    words = packing.WordIds(None)
+    texts = ["The house, the HOUSE; the house. Été été!", "it's l'street 3.14 don't''s 're\nthe 'LLama", None, "Σας, x\x1cy", "ÿ'"]
+    assert words.of_many(texts) == [words.direct(text or "") for text in texts]
+    assert {"the", "house", "été", "'s", "'ll"} <= set(words.young)
+    assert not {"The", "house,", "HOUSE;", "house.", "Été", "été!", "it's"} & set(words.young)
+
+
+def test_units_of_usual_texts(monkeypatch):
+    chance = random.Random(7)
+    signs = [*packing.USUAL_LETTERS, *packing.USUAL_LETTERS.upper(), *packing.USUAL_SIGNS, *"0123456789", *" \n\t\r" * 9]
+    signs += ["'", "'s", "'T", "'re", "'vE", "'m", "'ll", "'d", "'l", "'r"] * 9
+    texts = ["".join(chance.choices(signs, k=chance.randint(0, 40))).replace("<|", "") for _ in range(2000)]
+    words = packing.WordIds(None)
+    expected = list(map(words.direct, texts))
+    monkeypatch.setattr(packing, "SLICE_CHARS", 1 << 14)
+    assert words.of_many(texts) == expected
+    # Hashes that are all the same only cost time.
+    monkeypatch.setattr(packing, "_MIXED", np.zeros_like(packing._MIXED))
+    assert packing.WordIds(None).of_many(texts) == expected
+
+
 def fewest(lengths, capacity):
     """The least number of sequences, by trying everything."""
     lengths = sorted(lengths, reverse=True)
