@@ -6,7 +6,7 @@ text. The alphabet bounds the table to 60^3 numbers, whatever the input; its cou
 Channel: a token that could be disguised (letters beside signs, digits or their like, letters with spaces between them) is a
 lattice, whatever its length: each sign is one of the letters it may stand for, a boundary, or nothing between letters; a
 repeated letter is written once or twice. The best path under the model and the channel is the restored text. Other tokens, and signs
-around a token that stand for no letter, have a single path.
+around a token that stand for no letter, have a single path. Letters of which no reading could have evidence are not decoded.
 
 Scorer: words and letter sequences of 4 to 6 of a bounded sample of labelled texts (``sample`` rows of labels, chosen by a hash of
 the id; folds 1 to 3 of 5) get shrunk log odds of toxic against clean texts. A text's evidence (its strongest, its three
@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ SAMPLE = 20_000
 MOST_FEATURES = 50_000
 ORDERS = (4, 5, 6)
 LEAST_EVIDENCE = 3.0
-MOST_CACHED = 300_000
+MOST_CACHED = 200_000
 
 _CODES = np.zeros(0x110000, dtype=np.uint8)
 for _code in range(0x80, 0x110000):
@@ -57,6 +58,9 @@ for _k, _letter in enumerate(LETTERS, 1):
 DISGUISED = re.compile(r"[^\W\d_]\W|\W[^\W\d_]|[^\W\d_][\d_]|[\d_][^\W\d_]|([^\W\d_])\1")
 # Signs at the ends of a token that stand for no letter.
 EDGES = "".join(sign for sign in map(chr, range(0x21, 0x7F)) if not sign.isalnum() and sign not in "@$!|+*_-~") + "«»„“”‘’¿¡…–—"
+# The same in a token of letters alone.
+TWICE = re.compile(r"(.)\1")
+RUN = re.compile(r"(.)\1+")
 NOT_LETTER = re.compile(r"[\W\d_]+")
 
 
@@ -98,59 +102,74 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log((cube + 5 * single) / (cube.sum(axis=2, keepdims=True) + 5)).astype(np.float32)
 
 
-def lattice(token: str, veiled: bool = False) -> list[list[tuple[str, float]]]:
-    """Per stretch of the token, what may have been written there and the channel's log probability.
+def _written(text: str, channel: float) -> tuple[str, tuple[int, ...], float]:
+    return text, tuple(int(_CODES[ord(sign)]) for sign in text), channel
+
+
+VEIL = [_written(letter, VEILED) for letter in HIDDEN]
+END = [_written(" ", 0.0)]
+
+
+@lru_cache(maxsize=65_536)
+def stretch(sign: str, times: int) -> list[tuple[str, tuple[int, ...], float]]:
+    """What may have been written where a sign stands once, twice or (3) more often; codes of it; log probability."""
+    if sign.isalpha():
+        if times == 1:
+            return [_written(sign, 0.0)]
+        if times == 2:
+            return [_written(sign * 2, 0.0), _written(sign, DOUBLED)]
+        return [_written(sign, REPEATED), _written(sign * 2, 2 * REPEATED)]
+    options = [_written(" ", KEPT_DIGIT if sign.isdigit() else KEPT)]
+    options += [_written(letter, SUBSTITUTED) for letter in STANDS_FOR.get(sign, "")]
+    if times > 1:
+        options += [_written(letter * 2, 1.5 * SUBSTITUTED) for letter in STANDS_FOR.get(sign, "")]
+    if sign in SEPARATORS:
+        options.append(_written("", DROPPED))
+    return options
+
+
+def lattice(token: str, veiled: bool = False) -> list[list[tuple[str, tuple[int, ...], float]]]:
+    """Per stretch of the token, what may have been written there, its codes and the channel's log probability.
 
     With ``veiled``, signs that hide a letter stand for one and not for nothing.
     """
-    steps: list[list[tuple[str, float]]] = []
+    steps = []
     k = 0
     while k < len(token):
         sign = token[k]
         run = k + 1
         while run < len(token) and token[run] == sign:
             run += 1
-        times = run - k
-        if sign.isalpha():
-            if times == 1:
-                steps.append([(sign, 0.0)])
-            elif times == 2:
-                steps.append([(sign * 2, 0.0), (sign, DOUBLED)])
-            else:
-                steps.append([(sign, REPEATED), (sign * 2, 2 * REPEATED)])
+        if veiled and sign in HIDES:
+            steps += [VEIL] * (run - k)
         else:
-            if veiled and sign in HIDES:
-                steps += [[(letter, VEILED) for letter in HIDDEN]] * times
-                k = run
-                continue
-            options = [(" ", KEPT_DIGIT if sign.isdigit() else KEPT)]
-            options += [(letter, SUBSTITUTED) for letter in STANDS_FOR.get(sign, "")]
-            if times > 1:
-                options += [(letter * 2, 1.5 * SUBSTITUTED) for letter in STANDS_FOR.get(sign, "")]
-            if sign in SEPARATORS:
-                options.append(("", DROPPED))
-            steps.append(options)
+            steps.append(stretch(sign, min(run - k, 3)))
         k = run
     return steps
 
 
-def decoded(token: str, model: np.ndarray, veiled: bool = False) -> str:
-    """The best path of the token's lattice, whatever its length: each state keeps its best path as a chain."""
-    code = lambda sign: int(_CODES[ord(sign)])
-    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(BOUNDARY, BOUNDARY): (0.0, None)}
-    for options in [*lattice(token, veiled), [(" ", 0.0)]]:
-        ahead: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (first, second), (score, chain) in paths.items():
-            for written, channel in options:
-                a, b, total = first, second, score + channel
-                for sign in written:
-                    c = code(sign)
-                    if c == BOUNDARY and b == BOUNDARY:
-                        continue
-                    total += float(model[a, b, c])
-                    a, b = b, c
-                if (a, b) not in ahead or total > ahead[a, b][0]:
-                    ahead[a, b] = (total, (chain, written))
+def decoded(token: str, model: list[float], veiled: bool = False) -> str:
+    """The best path of the token's lattice, whatever its length: each state keeps its best path as a chain.
+
+    ``model`` is flat, as a list; a state is the last two letters.
+    """
+    steps = lattice(token, veiled)
+    if max(map(len, steps), default=1) == 1:  # a single path
+        return "".join([options[0][0] for options in steps]).strip()
+    paths: dict[int, tuple[float, tuple | None]] = {BOUNDARY: (0.0, None)}
+    for options in [*steps, END]:
+        ahead: dict[int, tuple[float, tuple | None]] = {}
+        for state, (score, chain) in paths.items():
+            for written, codes, channel in options:
+                at, total = state, score + channel
+                for code in codes:
+                    last = at % SYMBOLS
+                    if code or last:  # boundaries in a row are one
+                        total += model[at * SYMBOLS + code]
+                        at = last * SYMBOLS + code
+                before = ahead.get(at)
+                if before is None or total > before[0]:
+                    ahead[at] = (total, (chain, written))
         paths = ahead
     chain = max(paths.values(), key=lambda path: path[0])[1]
     parts = []
@@ -160,10 +179,6 @@ def decoded(token: str, model: np.ndarray, veiled: bool = False) -> str:
     return "".join(reversed(parts)).strip()
 
 
-def grams(word: str) -> list[str]:
-    return [word[k : k + n] for n in ORDERS for k in range(len(word) - n + 1)]
-
-
 @dataclass
 class Model:
     letters: np.ndarray
@@ -173,40 +188,72 @@ class Model:
 
 
 class Evidence(dict):
-    """Token -> row of its evidence; forgotten as a whole when it holds ``MOST_CACHED`` tokens."""
-
-    def __init__(self, letters: np.ndarray, odds: dict[str, float]):
-        self.letters, self.odds = letters, odds
+    """Token -> row of its evidence. Tokens are remembered in two generations: a full one becomes the older."""
+
+    def __init__(self, letters: np.ndarray, odds: dict[str, float], most: int = MOST_CACHED):
+        self.letters, self.odds, self.most = letters.ravel().tolist(), odds, most
+        # Every letter sequence with odds begins with one of these.
+        self.heads = {piece[: ORDERS[0]] for piece in odds if not piece.startswith("=")}
+        # The same with repeated letters once; what is shorter then, and whole words.
+        single = {RUN.sub(r"\1", piece) for piece in odds if not piece.startswith("=")}
+        self.single_heads = {piece[:3] for piece in single if len(piece) >= 3}
+        self.single_short = [piece for piece in single if len(piece) < 3]
+        self.single_words = {RUN.sub(r"\1", piece[1:]) for piece in odds if piece.startswith("=")}
         self.values_of = np.zeros(1024, dtype=np.float32)
+        self.older: dict[str, int] = {}
+        self.older_values = self.values_of
 
     def restored(self, token: str) -> str:
         core = token.strip(EDGES)
-        return decoded(core, self.letters) if DISGUISED.search(core) else core
+        return decoded(core, self.letters) if (TWICE if core.isalpha() else DISGUISED).search(core) else core
 
     def weigh(self, text: str) -> float:
-        get = self.odds.get
+        get, heads, least = self.odds.get, self.heads, ORDERS[0]
         best = 0.0
-        for word in NOT_LETTER.split(text):
+        for word in (text,) if text.isalpha() else NOT_LETTER.split(text):
             if len(word) >= 2:
                 best = max(best, get("=" + word, 0.0))
-                for gram in grams(word):
-                    found = get(gram)
-                    if found is not None and found > best:
-                        best = found
+                for k in range(len(word) - least + 1):
+                    if word[k : k + least] in heads:
+                        best = max(best, *[get(word[k : k + n], 0.0) for n in ORDERS])
         return best
 
-    def __missing__(self, token: str) -> int:
-        row = len(self)
-        if row == len(self.values_of):
-            self.values_of = np.concatenate([self.values_of, np.zeros_like(self.values_of)])
-        core, restored = token.strip(EDGES), self.restored(token)
+    def bare(self, core: str) -> bool:
+        """Whether letters cannot have evidence, however often repeated ones were written."""
+        single, heads = RUN.sub(r"\1", core), self.single_heads
+        return (
+            single not in self.single_words
+            and not any([single[k : k + 3] in heads for k in range(len(single) - 2)])
+            and not any([piece in single for piece in self.single_short])
+        )
+
+    def weight(self, token: str) -> float:
+        row = self.older.get(token)
+        if row is not None:
+            return self.older_values[row]
+        core = token.strip(EDGES)
+        if core != token:
+            # The same token without signs around it has the same evidence.
+            if (row := self.get(core)) is not None:
+                return self.values_of[row]
+            if (row := self.older.get(core)) is not None:
+                return self.older_values[row]
+        if core.isalpha() and TWICE.search(core) and self.bare(core):
+            return 0.0
+        restored = self.restored(core)
         weight = self.weigh(restored)
         if restored != core:
             # What is written plainly counts as it stands, too.
             weight = max(weight, self.weigh(core))
             if any(sign in core for sign in HIDES):
                 weight = max(weight, self.weigh(decoded(core, self.letters, veiled=True)))
-        self.values_of[row] = weight
+        return weight
+
+    def __missing__(self, token: str) -> int:
+        row = len(self)
+        if row == len(self.values_of):
+            self.values_of = np.concatenate([self.values_of, np.zeros_like(self.values_of)])
+        self.values_of[row] = self.weight(token)
         self[token] = row
         return row
 
@@ -214,8 +261,10 @@ class Evidence(dict):
         """Strongest evidence, sum of the three strongest, log of the number of different tokens with evidence."""
         if not text:
             return [0.0, 0.0, 0.0]
-        if len(self) > MOST_CACHED:
+        if len(self) > self.most:
+            self.older, self.older_values = dict(self), self.values_of
             self.clear()
+            self.values_of = np.zeros(1024, dtype=np.float32)
         words = text.lower().split()
         rows = list(map(self.__getitem__, words))
         singles = [k for k, word in enumerate(words) if len(word) == 1]

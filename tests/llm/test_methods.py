@@ -114,6 +114,38 @@ def test_common_disguises_are_undone(spark, sf, token):
 DISGUISES: list = []
 
 
+def test_letters_without_evidence_are_not_decoded(monkeypatch):
+    """However often their repeated letters were written; what could be evidence still is."""
+    letters = toxicity.log_model(np.bincount(toxicity.trigram_codes("  idiot  hello  soon  " * 50), minlength=toxicity.SYMBOLS**3))
+    calls, real = [], toxicity.decoded
+    monkeypatch.setattr(toxicity, "decoded", lambda token, *rest, **named: calls.append(token) or real(token, *rest, **named))
+    cache = toxicity.Evidence(letters, {"=idiot": 8.0, "idio": 5.0})
+    assert cache.of("all hello hello, (hello) soooon.")[0] == 0.0 and not calls
+    assert cache.of("well iddiot iidiott")[0] == 8.0 and calls == ["iddiot", "iidiott"]
+    assert cache.of("(iddiot), iddiot.")[0] == 8.0 and len(calls) == 2
+
+
+def test_evidence_is_that_of_every_token_on_its_own():
+    chance = random.Random(4)
+    letters = toxicity.log_model(np.bincount(toxicity.trigram_codes("  idiot  loose  aab  abba  " * 50), minlength=toxicity.SYMBOLS**3))
+    odds = {"=idiot": 8.0, "=ab": 4.0, "aaaa": 6.0, "abba": 5.0, "idio": 7.0, "abbab": 3.5, "=bb": 3.25}
+
+    def weigh(text):
+        words = [word for word in toxicity.NOT_LETTER.split(text) if len(word) >= 2]
+        pieces = ["=" + word for word in words]
+        pieces += [word[k : k + n] for word in words for n in (4, 5, 6) for k in range(len(word) - n + 1)]
+        return max([odds.get(piece, 0.0) for piece in pieces], default=0.0)
+
+    few = toxicity.Evidence(letters, odds, most=20)
+    for _ in range(1500):
+        token = "".join(chance.choices(["a", "b", "bb", "aaa", "idi", "ot", "*", ".", ",", "1", "(", "!"], k=chance.randint(1, 7)))
+        core = token.strip(toxicity.EDGES)
+        ways = [core, few.restored(token)]
+        if ways[1] != core and ("*" in core or "#" in core):
+            ways.append(toxicity.decoded(core, few.letters, veiled=True))
+        assert few.of(token)[0] == max(map(weigh, ways)), token
+
+
 def test_toxicity_ranks_held_out_documents(spark, sf):
     rows = registry.op2_toxicity(spark, "/root/testdata/sf0.01").collect()
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
