@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillmetrics.llm import decontamination, language_id, packing, pii, simhash_dedup
-from fillmetrics.llm.common import fold, shared_folder, table
+from fillmetrics.llm.common import fold, narrow_batches, shared_folder, table
 from fillmetrics.sources.folders import remove
 
 # A language is doubted where its posterior probability is not even one half.
@@ -22,6 +22,7 @@ LEAST_SCORE = 0.5
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told."""
+    narrow_batches(spark)
     model = language_id.fit(docs, fold("doc_id", 4) != 2)
     known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
     return language_id.predicted(docs, model).where(known).select(docs.columns)
@@ -29,6 +30,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    narrow_batches(spark)
     return simhash_dedup.deduplicated(docs)
 
 
@@ -39,6 +41,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data masked."""
+    narrow_batches(spark)
     clean = pii.masked(docs, pii.fit(docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -48,6 +51,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their place in a sequence."""
+    narrow_batches(spark)
     return packing.packed(packing.pieces(docs))
 
 

@@ -19,12 +19,14 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import chance, checkpointed, kept_in_worker, nothing_kept_in_worker
+from fillmetrics.llm.common import chance, checkpointed, kept_in_worker, nothing_kept_in_worker, sliced
 
 ORDERS = (5, 4, 3, 2, 1)
 DISCOUNT = math.log(0.4)
@@ -88,20 +90,17 @@ class Model:
         return cls.of_pieces(sorted((n, key, language, count) for (language, n, key), count in pieces.items()), totals)
 
     @classmethod
-    def of_pieces(cls, pieces: list[tuple[int, str, str, int]], totals: dict[tuple[str, int], int]) -> Model:
-        """From sorted counts of order, key and language, and the counts of all keys by language and order."""
+    def of_pieces(cls, pieces: Iterable[tuple[int, str, str, int]], totals: dict[tuple[str, int], int]) -> Model:
+        """From sorted counts of order, key and language, taken one by one, and the counts of all keys by language and order."""
         languages = sorted({language for language, _ in totals})
         place = {language: k for k, language in enumerate(languages)}
-        return cls(
-            languages,
-            {
-                n: Table(
-                    ((key, place[language], count) for order, key, language, count in pieces if order == n),
-                    [max(1, totals.get((language, n), 0)) for language in languages],
-                )
-                for n in ((0, *ORDERS) if languages else ())
-            },
-        )
+
+        def table(n: int, rows: Iterable[tuple[int, str, str, int]]) -> Table:
+            counts = ((key, place[language], count) for _, key, language, count in rows)
+            return Table(counts, [max(1, totals.get((language, n), 0)) for language in languages])
+
+        tables = {n: table(n, rows) for n, rows in groupby(pieces, itemgetter(0))} if languages else {}
+        return cls(languages, {n: tables[n] if n in tables else table(n, ()) for n in ((0, *ORDERS) if languages else ())})
 
     def vote(self, word: str) -> list[float]:
         """Log score of a word in each language."""
@@ -233,7 +232,8 @@ def fit(
         _most_frequent(grams, int(most_grams / crowd)).select(order.alias("n"), "key", "language", "count")
     )
     table = kept.toArrow().sort_by([("n", "ascending"), ("key", "ascending")])
-    return Model.of_pieces(list(zip(*(table.column(name).to_pylist() for name in table.column_names))), totals)
+    parts = sliced(table.to_batches())
+    return Model.of_pieces((row for part in parts for row in zip(*(column.to_pylist() for column in part.columns))), totals)
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
@@ -243,9 +243,8 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        votes = kept_in_worker("language", model, lambda: Votes(model))
-        for batch in batches:
+        votes = kept_in_worker("language", shared, lambda: Votes(shared.value))
+        for batch in sliced(batches):
             found = [votes.predict(text) for text in batch.column(place).to_pylist()]
             columns = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])

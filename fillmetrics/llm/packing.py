@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillmetrics.llm.common import checkpointed, kept_in_worker
+from fillmetrics.llm.common import checkpointed, kept_in_worker, sliced
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -40,7 +40,6 @@ EFFORT = 4000
 WIDTH = 200
 MOST_CACHED = 250_000
 SLICE_CHARS = 1 << 19
-SLICE_ROWS = 1024
 OTHER_ROWS = 256
 TRAILING = ".,;:!?|#$%&*"
 
@@ -250,11 +249,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = kept_in_worker("packing", tokenizer, lambda: WordIds(tokenizer))
         closing = CLOSING_ID.to_bytes(4, "little")
-        for batch in batches:
+        for batch in sliced(batches):
             row, piece, length, crc = [], [], [], []
-            texts = batch.column(1).to_pylist()
-            encoded = (ids for at in range(0, len(texts), SLICE_ROWS) for ids in words.of_many(texts[at : at + SLICE_ROWS]))
-            for k, ids in enumerate(encoded):
+            for k, ids in enumerate(words.of_many(batch.column(1).to_pylist())):
                 ids += closing
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

@@ -4,13 +4,16 @@ import math
 import os
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 from hashlib import sha256
 from itertools import combinations
 
 import compare
+import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +30,7 @@ from fillmetrics.llm import (
     simhash_dedup,
     toxicity,
 )
-from fillmetrics.llm.common import components, fold
+from fillmetrics.llm.common import components, fold, kept_in_worker, nothing_kept_in_worker, sliced
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -561,6 +564,17 @@ def test_backoff_gets_shorter():
     assert language_id.Votes(model).predict("1 2 _ !") == ("und", 0.0)
 
 
+def test_tables_are_made_from_counts_that_come_one_by_one():
+    counts = [(0, "der", "de", 9), (0, "the", "en", 9), (2, "th", "en", 9), (5, "schul", "de", 5), (5, "schul", "en", 1)]
+    totals = Counter({("de", 0): 20, ("en", 0): 20, ("en", 2): 9, ("de", 5): 5, ("en", 5): 1})
+    model = language_id.Model.of_pieces(iter(counts), totals)
+    assert {n: list(table.rows) for n, table in model.tables.items()} == {
+        0: ["der", "the"], 5: ["schul"], 4: [], 3: [], 2: ["th"], 1: []
+    }
+    assert model.languages == ["de", "en"]
+    assert [language_id.Votes(model).predict(text)[0] for text in ("der", "the", "schule")] == ["de", "en", "de"]
+
+
 def test_every_language_has_a_table_of_its_own(spark):
     rows = [(k, "en", " ".join(f"{a}{b}ing" for a in "bcdfghklm" for b in "aeiou") + " the of and") for k in range(300)]
     rows += [(1000 + k, "fi", f"yö{'aeiouyäö'[k]}lintu") for k in range(8)]
@@ -732,6 +746,45 @@ def test_pipeline_by_stages(spark, sf):
             assert first[k].ids_crc32 == zlib.crc32(ids[: 4 * packing.CAPACITY])
 
 
+def test_texts_go_to_python_in_small_batches(spark):
+    """Of 20 MB of texts a worker of the pipeline gets some 8 MB at a time, or what the session names."""
+    kinds = "doc_id long, text string"
+    session, other = spark.newSession(), spark.newSession()
+    other.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+
+    def batches(session):
+        def measured(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+        docs = session.range(0, 5000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some text "), 400).alias("text"))
+        stage = corpus_pipeline.personal_data(session, docs.to(session.createDataFrame([], kinds).schema), "")
+        return stage.mapInArrow(measured, "n long, size long").collect()
+
+    for session, most in ((session, 8 << 20), (other, 1 << 20)):
+        rows = batches(session)
+        assert sum(row.n for row in rows) == 5000
+        assert most / 2 < max(row.size for row in rows) < most + (64 << 10)
+
+
+def test_slices_keep_every_row():
+    batches = [pa.RecordBatch.from_pydict({"n": list(range(k))}) for k in (0, 2500, 1)]
+    found = [batch.column(0).to_pylist() for batch in sliced(batches)]
+    assert list(map(len, found)) == [1024, 1024, 452, 1]
+    assert [n for part in found for n in part] == [*range(2500), 0]
+
+
+def test_what_a_worker_kept_goes_before_anything_is_made():
+    class Memory:
+        pass
+
+    nothing_kept_in_worker()
+    before = weakref.ref(kept_in_worker("one", "a", Memory))
+    assert kept_in_worker("one", "a", Memory) is before()
+    assert kept_in_worker("other", "a", lambda: [before()]) == [None]
+    nothing_kept_in_worker()
+
+
 def test_folds_are_crc32_of_the_id_as_text(spark):
     rows = spark.range(50).select("id", fold("id", 5).alias("f")).collect()
     assert all(row.f == zlib.crc32(str(row.id).encode()) % 5 for row in rows)
